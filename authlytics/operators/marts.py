@@ -61,13 +61,13 @@ def daily_funnel(funnel: DataFrame) -> DataFrame:
     )
 
 
-def fct_daily_auth_metrics(sessions: DataFrame, funnel: DataFrame) -> DataFrame:
+def fct_daily_auth_metrics(per_slice: DataFrame, funnel_per_slice: DataFrame) -> DataFrame:
     """Every slice with sessions, with its funnel figures where anyone tried to log in.
 
     Slices without attempters, and slices with a null key, keep null funnel figures.  Both
     sides leave their aggregates partitioned by the slice keys, so the join adds no shuffle.
     """
-    facts = daily_sessions(sessions).join(daily_funnel(funnel), SLICE_KEYS, "left")
+    facts = per_slice.join(funnel_per_slice, SLICE_KEYS, "left")
     return facts.withColumns(
         {
             "avg_session_duration_secs": c.rounded(F.col("avg_session_duration_secs"), 2),
@@ -100,7 +100,7 @@ def user_session_history(sessions: DataFrame) -> DataFrame:
     )
 
 
-def user_friction_scores(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def user_friction_scores(history: DataFrame, users: DataFrame) -> DataFrame:
     """Friction score and segment of every known user with a session.
 
     Users are the streamed side: should one user id be repeated in the user table, a merge
@@ -109,7 +109,7 @@ def user_friction_scores(sessions: DataFrame, users: DataFrame) -> DataFrame:
     profile = users.select(
         "user_id", "subscription_tier", "mfa_enabled", "email_verified", "cohort_month"
     )
-    scored = profile.join(user_session_history(sessions), "user_id")
+    scored = profile.join(history, "user_id")
     return scored.withColumns(
         {"friction_score": c.friction_score(), "friction_segment": c.friction_segment()}
     ).select(*USER_FRICTION_SCORES.names)

@@ -34,8 +34,10 @@ def build_relations(
     events, users = staging.stg_auth_events(raw_auth_events), staging.stg_users(raw_users)
     rollup = working.write(auth_rollup(events), "auth_rollup", GRAIN)
     sessions = rollup_sessions(rollup)
-    fct = marts.fct_daily_auth_metrics(sessions, rollup_funnel(rollup))
-    scores = marts.user_friction_scores(sessions, users)
+    fct = marts.fct_daily_auth_metrics(
+        marts.daily_sessions(sessions), marts.daily_funnel(rollup_funnel(rollup))
+    )
+    scores = marts.user_friction_scores(marts.user_session_history(sessions), users)
     return {
         "raw_users": raw_users,
         "raw_auth_events": raw_auth_events,
@@ -54,8 +56,9 @@ def run_checks(relations: dict[str, DataFrame], as_of: datetime | None = None) -
     return quality.check_all(relations, DECLARED_CHECKS, as_of)
 
 
-def run_reports(relations: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: report(relations[mart]) for name, (mart, report) in REPORTS.items()}
+def run_report(name: str, relations: dict[str, DataFrame]) -> DataFrame:
+    mart, report = REPORTS[name]
+    return report(relations[mart])
 
 
 def build_all(

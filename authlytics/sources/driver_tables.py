@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from authlytics.schemas import RAW_AUTH_EVENTS, RAW_USERS
 from authlytics.sources.raw import conform
 
+# Columns read from the driver tables.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
 # Per source event type, the auth event type for k below each bound.
 EVENT_TYPES = {
     "click": [(90, "login_attempt"), (100, "token_refresh")],
@@ -71,7 +78,7 @@ DEVICES = [
 AGE_GROUPS = ["18-24", "25-34", "35-44", "45-54", "55+"]
 
 
-def _first_match(pairs: list[tuple[Column, str]]) -> Column:
+def _first_match(pairs: list[tuple[Column, Column | str]]) -> Column:
     start = F.when(*pairs[0])
     return reduce(lambda chain, pair: chain.when(*pair), pairs[1:], start)
 
@@ -89,7 +96,7 @@ def _null_every(divisor: int, value: Column) -> Column:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +141,8 @@ def raw_auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_date((F.col("ts") + F.expr("INTERVAL 12 HOURS")).cast("date")).alias("bucket"),
     )
     rules = [
-        ((F.col("source_type") == source) & (k < bound), target)
+        (F.col("source_type") == source, _first_match([(k < bound, t) for bound, t in targets]))
         for source, targets in EVENT_TYPES.items()
-        for bound, target in targets
     ]
     typed = events.withColumn("auth_type", _first_match(rules))
     auth_type = F.col("auth_type")
