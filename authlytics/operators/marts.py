@@ -81,17 +81,44 @@ def user_session_history(sessions: DataFrame) -> DataFrame:
 
     The device and the country are the alphabetically largest ones.  Rates divide rows by
     distinct session ids and can exceed 1 when one id spans several rows.
+
+    Sessions are grouped per (user, session id), per (user, day) and per (user, country,
+    device) in one hash aggregate; each kind of row then feeds its own columns.  Text maxima
+    need a sort aggregate, which this way sees only the distinct values.
     """
-    distinct_sessions = F.count_distinct("session_id")
-    failures, logins = F.sum("had_auth_failure"), F.sum("had_successful_login")
-    return sessions.groupBy("user_id").agg(
+    of_session = F.grouping("session_id") == 0
+    per_value = sessions.groupingSets(
+        [
+            ["user_id", "session_id"],
+            ["user_id", "session_date"],
+            ["user_id", "country_code", "device_category"],
+        ],
+        "user_id",
+        "session_id",
+        "session_date",
+        "country_code",
+        "device_category",
+    ).agg(
+        of_session.alias("of_session"),
+        F.sum("had_auth_failure").alias("failures"),
+        F.sum("had_successful_login").alias("logins"),
+        _outcomes("mfa_blocked").alias("mfa_blocked"),
+        _outcomes("password_reset").alias("password_reset"),
+    )
+
+    def total(column: str) -> Column:
+        return F.sum(F.when(F.col("of_session"), F.col(column)))
+
+    distinct_sessions = F.count("session_id")
+    failures, logins = total("failures"), total("logins")
+    return per_value.groupBy("user_id").agg(
         distinct_sessions.alias("total_sessions"),
-        F.count_distinct("session_date").alias("active_days"),
+        F.count("session_date").alias("active_days"),
         F.min("session_date").alias("first_session_date"),
         F.max("session_date").alias("last_session_date"),
         failures.alias("total_failed_sessions"),
-        _outcomes("mfa_blocked").alias("mfa_blocked_count"),
-        _outcomes("password_reset").alias("password_reset_count"),
+        total("mfa_blocked").alias("mfa_blocked_count"),
+        total("password_reset").alias("password_reset_count"),
         logins.alias("successful_sessions"),
         c.rate(failures, distinct_sessions).alias("failure_rate"),
         c.rate(logins, distinct_sessions).alias("success_rate"),

@@ -1,7 +1,6 @@
 """Data-quality operators.
 
-Each check has a failing-row form, and `check_all` counts the failures of many checks with
-one scan per relation and one shuffle for all of them.
+Each check has a failing-row form; `check_all` counts the failures of many checks together.
 """
 
 from dataclasses import dataclass
@@ -99,92 +98,95 @@ class Check:
         return f"{self.relation}.{self.column}.{self.kind}"
 
 
-def _finding(check: Check, as_of: datetime | None) -> tuple[Column, Column]:
-    """When a row matters to the check, and the key under which it is counted."""
+def _row_condition(check: Check, as_of: datetime | None) -> Column:
     value = F.col(check.column)
-    one_key = F.lit(None).cast("string")
     if check.kind == "not_null":
-        return value.isNull(), one_key
+        return value.isNull()
     if check.kind == "future_events":
-        return value > _check_time(as_of), one_key
-    if check.kind == "unique":
-        return value.isNotNull(), value.cast("string")
-    if check.kind == "accepted_values":
-        return ~value.isin(*check.values), value.cast("string")
+        return value > _check_time(as_of)
     raise ValueError(f"unknown check kind: {check.kind}")
 
 
-def _row_findings(
-    relation: DataFrame, checks: list[tuple[int, Check]], as_of: datetime | None
+def _one_row_per_check(counted: DataFrame, checks: list[Check]) -> DataFrame:
+    """Turn one row with a column per check into (check_name, failures) rows."""
+    results = [
+        F.struct(F.lit(check.name).alias("check_name"), F.col(str(i)).alias("failures"))
+        for i, check in enumerate(checks)
+    ]
+    return counted.select(F.inline(F.array(*results)))
+
+
+def _count_rows_and_values(
+    relation: DataFrame, checks: list[Check], as_of: datetime | None
+) -> DataFrame:
+    """Row checks and accepted values of one relation in one scan.
+
+    Rows are first grouped by their unaccepted values, null for a clean row, so that clean
+    data shuffles one row per task; repeated bad values are combined before the shuffle.
+    """
+    first, second, bad_values = [], [], []
+    for i, check in enumerate(checks):
+        if check.kind == "accepted_values":
+            value = F.col(check.column)
+            bad_values.append(F.when(~value.isin(*check.values), value).alias(str(i)))
+            second.append(F.count_distinct(str(i)).alias(str(i)))
+        else:
+            first.append(c.count_where(_row_condition(check, as_of)).alias(str(i)))
+            second.append(F.coalesce(F.sum(str(i)), F.lit(0)).alias(str(i)))
+    if bad_values:
+        relation = relation.groupBy(*bad_values).agg(F.count("*").alias("rows"), *first)
+    else:
+        relation = relation.agg(*first)
+    return _one_row_per_check(relation.agg(*second), checks)
+
+
+def _count_repeated(
+    relation: DataFrame, column: str, checks: list[Check], kept: dict[str, tuple[str, Column]]
 ) -> DataFrame:
-    findings = []
-    for check_id, check in checks:
-        matters, key = _finding(check, as_of)
-        entry = F.struct(F.lit(check_id).alias("check_id"), key.alias("key"))
-        findings.append(F.when(matters, entry))
-    found = F.explode(F.array_compact(F.array(*findings)))
-    return relation.select(found.alias("found")).select("found.*", F.lit(1).alias("rows"))
+    """`unique` checks on one key column: one shuffle of the key for all of them."""
+    counts, repeated = [], []
+    for i, check in enumerate(checks):
+        keeps = kept[check.relation][1] if check.relation in kept else F.lit(True)
+        counts.append(c.count_where(keeps).alias(str(i)))
+        repeated.append(F.coalesce(c.count_where(F.col(str(i)) > 1), F.lit(0)).alias(str(i)))
+    per_key = relation.filter(F.col(column).isNotNull()).groupBy(column).agg(*counts)
+    return _one_row_per_check(per_key.agg(*repeated), checks)
 
 
 def check_all(
-    relations: dict[str, DataFrame], checks: list[Check], as_of: datetime | None = None
+    relations: dict[str, DataFrame],
+    checks: list[Check],
+    as_of: datetime | None = None,
+    kept: dict[str, tuple[str, Column]] | None = None,
 ) -> DataFrame:
-    """Failures of every check, one row each.
+    """Failures of every check, one row each, with few scans.
 
-    Rows are turned into (check, key) findings and counted per pair, combined before the
-    shuffle, so a key that holds most of the rows costs one row per task.  A finding is a
-    failing row for the row checks, a repeated key for `unique`, and a distinct key for
-    `accepted_values`.
+    Row checks and accepted values take one scan per relation.  `kept` says which relation
+    is another one reduced to the rows that meet a condition, key columns unchanged: a key
+    that both declare unique is then shuffled once.
     """
-    numbered = list(enumerate(checks))
-    spark = relations[checks[0].relation].sparkSession
-    # A row count of 0 per check: checks without findings are reported as well.
-    parts = [
-        spark.range(len(checks)).select(
-            F.col("id").cast("int").alias("check_id"),
-            F.lit(None).cast("string").alias("key"),
-            F.lit(0).alias("rows"),
-        )
-    ]
-    for name, relation in relations.items():
-        mine = [(i, check) for i, check in numbered if check.relation == name]
-        row_checks = [(i, check) for i, check in mine if check.kind != "low_conversion"]
-        if row_checks:
-            parts.append(_row_findings(relation, row_checks, as_of))
-        for i, check in mine:
-            if check.kind == "low_conversion":
-                day = None if as_of is None else as_of.date()
-                parts.append(
-                    low_conversion(relation, day).select(
-                        F.lit(i).alias("check_id"),
-                        F.lit(None).cast("string").alias("key"),
-                        F.lit(1).alias("rows"),
-                    )
-                )
-
-    def of_kind(kind: str) -> Column:
-        return F.col("check_id").isin([i for i, check in numbered if check.kind == kind])
-
-    per_key = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("check_id", "key")
-        .agg(F.sum("rows").alias("rows"))
-    )
-    rows = F.col("rows")
-    failures = (
-        F.when(of_kind("unique"), c.flag(rows > 1))
-        .when(of_kind("accepted_values"), c.flag(rows > 0))
-        .otherwise(rows)
-    )
-    names = F.array(*[F.lit(check.name) for check in checks])
+    kept = kept or {}
+    day = None if as_of is None else as_of.date()
+    row_checks: dict[str, list[Check]] = {}
+    key_checks: dict[tuple[str, str], list[Check]] = {}
+    counted = []
+    for check in checks:
+        if check.kind == "low_conversion":
+            days = low_conversion(relations[check.relation], day)
+            counted.append(_one_row_per_check(days.agg(F.count("*").alias("0")), [check]))
+        elif check.kind == "unique":
+            base = kept[check.relation][0] if check.relation in kept else check.relation
+            key_checks.setdefault((base, check.column), []).append(check)
+        else:
+            row_checks.setdefault(check.relation, []).append(check)
+    for name, mine in row_checks.items():
+        counted.append(_count_rows_and_values(relations[name], mine, as_of))
+    for (base, column), mine in key_checks.items():
+        counted.append(_count_repeated(relations[base], column, mine, kept))
     return (
-        per_key.groupBy("check_id")
-        .agg(F.sum(failures).alias("failures"))
-        .select(
-            F.get(names, F.col("check_id")).alias("check_name"),
-            "failures",
-            (F.col("failures") != 0).alias("should_warn"),
-            (F.col("failures") != 0).alias("should_error"),
+        reduce(DataFrame.unionByName, counted)
+        .withColumns(
+            {"should_warn": F.col("failures") != 0, "should_error": F.col("failures") != 0}
         )
         .select(*DQ_SUMMARY.names)
     )

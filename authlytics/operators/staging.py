@@ -1,11 +1,21 @@
 """Staging: drop unusable raw rows, normalise text, derive flags and truncated times."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authlytics.functions import columns as c
 
 
+def usable_event() -> Column:
+    return (
+        F.col("event_id").isNotNull() & F.col("user_id").isNotNull() & F.col("event_ts").isNotNull()
+    )
+
+
+def usable_user() -> Column:
+    return F.col("user_id").isNotNull()
+
+
 def stg_auth_events(raw_auth_events: DataFrame) -> DataFrame:
     """One row per raw event that has an event id, a user id and a timestamp.
 
@@ -14,10 +24,7 @@ def stg_auth_events(raw_auth_events: DataFrame) -> DataFrame:
     """
     event_type = F.col("event_type")
     event_ts = F.col("event_ts").cast("timestamp_ntz")
-    usable = (
-        F.col("event_id").isNotNull() & F.col("user_id").isNotNull() & F.col("event_ts").isNotNull()
-    )
-    return raw_auth_events.filter(usable).select(
+    return raw_auth_events.filter(usable_event()).select(
         "event_id",
         "session_id",
         "user_id",
@@ -41,7 +48,7 @@ def stg_auth_events(raw_auth_events: DataFrame) -> DataFrame:
 def stg_users(raw_users: DataFrame) -> DataFrame:
     """One row per raw user that has an id."""
     created_at = F.col("created_at").cast("timestamp_ntz")
-    return raw_users.filter(F.col("user_id").isNotNull()).select(
+    return raw_users.filter(usable_user()).select(
         "user_id",
         created_at.alias("created_at"),
         c.uppered(F.col("country")).alias("country_code"),

@@ -53,7 +53,11 @@ def build_relations(
 
 def run_checks(relations: dict[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
     """The declared checks over built relations, one row per check."""
-    return quality.check_all(relations, DECLARED_CHECKS, as_of)
+    kept = {
+        "stg_auth_events": ("raw_auth_events", staging.usable_event()),
+        "stg_users": ("raw_users", staging.usable_user()),
+    }
+    return quality.check_all(relations, DECLARED_CHECKS, as_of, kept)
 
 
 def run_report(name: str, relations: dict[str, DataFrame]) -> DataFrame:
