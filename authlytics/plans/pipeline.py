@@ -4,7 +4,6 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from authlytics.operators import marts, quality, reports, staging
 from authlytics.plans.checks import DECLARED_CHECKS
@@ -25,30 +24,32 @@ REPORTS = {
 
 
 def build_relations(
+    spark: SparkSession,
     raw_users: DataFrame,
     raw_auth_events: DataFrame,
-    working: WorkingTables,
     write_mart: Callable[[DataFrame, str], DataFrame],
 ) -> dict[str, DataFrame]:
-    """Build both marts from one scan of the events; sources and staging stay lazy."""
+    """Write both marts from one scan of the events; sources and staging stay lazy."""
     events, users = staging.stg_auth_events(raw_auth_events), staging.stg_users(raw_users)
-    rollup = working.write(auth_rollup(events), "auth_rollup", GRAIN)
-    sessions = rollup_sessions(rollup)
-    fct = marts.fct_daily_auth_metrics(
-        marts.daily_sessions(sessions), marts.daily_funnel(rollup_funnel(rollup))
-    )
-    scores = marts.user_friction_scores(marts.user_session_history(sessions), users)
-    return {
-        "raw_users": raw_users,
-        "raw_auth_events": raw_auth_events,
-        "stg_users": users,
-        "stg_auth_events": events,
-        "fct_daily_auth_metrics": write_mart(fct, "fct_daily_auth_metrics"),
-        # The id breaks ties: without it all users of one score would sort in one task.
-        "user_friction_scores": write_mart(
-            scores.orderBy(F.desc("friction_score"), "user_id"), "user_friction_scores"
-        ),
-    }
+    working = WorkingTables(spark)
+    try:
+        rollup = working.write(auth_rollup(events), "auth_rollup", GRAIN)
+        sessions, funnel = rollup_sessions(rollup), rollup_funnel(rollup)
+        fct = marts.fct_daily_auth_metrics(
+            marts.daily_sessions(sessions), marts.daily_funnel(funnel)
+        )
+        scores = marts.user_friction_scores(marts.user_session_history(sessions), users)
+        return {
+            "raw_users": raw_users,
+            "raw_auth_events": raw_auth_events,
+            "stg_users": users,
+            "stg_auth_events": events,
+            "fct_daily_auth_metrics": write_mart(fct, "fct_daily_auth_metrics"),
+            "user_friction_scores": write_mart(scores, "user_friction_scores"),
+        }
+    finally:
+        # The marts are written: nothing reads the rollup any more.
+        working.drop()
 
 
 def run_checks(relations: dict[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
@@ -69,16 +70,12 @@ def build_all(
     spark: SparkSession, raw_users: DataFrame, raw_auth_events: DataFrame, database: str
 ) -> dict[str, DataFrame]:
     """Publish staging views and mart tables and return every relation by name."""
-    working = WorkingTables(spark)
-    try:
-        relations = build_relations(
-            raw_users,
-            raw_auth_events,
-            working,
-            lambda mart, name: publish_table(mart, f"{database}.{name}"),
-        )
-    finally:
-        working.drop()
+    relations = build_relations(
+        spark,
+        raw_users,
+        raw_auth_events,
+        lambda mart, name: publish_table(mart, f"{database}.{name}"),
+    )
     for name in ("stg_users", "stg_auth_events"):
         publish_view(relations[name], name)
     return relations

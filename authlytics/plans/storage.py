@@ -17,13 +17,12 @@ def working_folder(spark: SparkSession) -> str:
     Only a local session without one gets a temporary folder: on a cluster the executors
     must all see the files, and find them again when a node is lost.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="authlytics-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="authlytics-")
+    raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
 
 
 class WorkingTables:
