@@ -1,0 +1,101 @@
+"""Relations between the models, on the driver tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from authlytics.operators.marts import SLICE_KEYS
+from authlytics.plans.models import Models
+from authlytics.sources import driver_tables
+
+SF_DIR = "/root/testdata/sf0.01"
+
+OUTCOMES = [
+    "clean_successes",
+    "successes_after_retry",
+    "failed_sessions",
+    "mfa_blocked_sessions",
+    "password_reset_sessions",
+]
+
+
+@pytest.fixture(scope="module")
+def m(spark):
+    return Models(
+        lambda: driver_tables.raw_users(spark, SF_DIR),
+        lambda: driver_tables.raw_auth_events(spark, SF_DIR),
+    )
+
+
+def value(rows, expression):
+    return rows.agg(expression).first()[0]
+
+
+def test_expected_counts(m):
+    events, sessions = m.stg_auth_events, m.int_user_sessions
+    assert m.raw_users.count() == 1470
+    assert events.count() == 9785
+    assert events.select("event_type").distinct().count() == 18
+    unflagged = (F.col("event_type") == "login_success") & ~F.col("is_successful_login")
+    assert events.filter(unflagged).count() == 220
+    assert sessions.count() == 4147
+    assert sessions.select("session_id").distinct().count() == 4065
+    outcomes = {r[0]: r[1] for r in sessions.groupBy("session_outcome").count().collect()}
+    assert outcomes == {
+        "clean_success": 592,
+        "success_after_retry": 225,
+        "password_reset": 437,
+        "mfa_blocked": 567,
+        "failed": 2326,
+    }
+    stages = {r[0]: r[1] for r in m.int_auth_funnel.groupBy("funnel_drop_stage").count().collect()}
+    assert stages == {
+        "converted": 193,
+        "dropped_at_mfa": 143,
+        "dropped_bad_password": 192,
+        "dropped_account_locked": 48,
+        "dropped_unknown": 988,
+    }
+    facts = m.fct_daily_auth_metrics
+    assert facts.count() == 2582
+    assert facts.filter(F.col("users_attempted_login").isNull()).count() == 1525
+    assert facts.filter(F.col("country_code").isNull()).count() == 83
+    segments = m.user_friction_scores.groupBy("friction_segment").count().collect()
+    assert {r[0]: r[1] for r in segments} == {
+        "high_friction": 7,
+        "medium_friction": 124,
+        "low_friction": 16,
+    }
+
+
+def test_every_event_is_in_one_session(m):
+    assert value(m.int_user_sessions, F.sum("total_events")) == m.stg_auth_events.count()
+
+
+def test_outcomes_add_up_to_session_rows(m):
+    rows = m.int_user_sessions.withColumnRenamed("session_date", "metric_date")
+    per_slice = rows.groupBy(*SLICE_KEYS).count()
+    summed = m.daily_sessions.select(
+        *SLICE_KEYS, sum(F.col(name) for name in OUTCOMES).alias("count")
+    )
+    assert per_slice.exceptAll(summed).count() == 0
+    assert summed.exceptAll(per_slice).count() == 0
+
+
+def test_fact_grain_is_unique(m):
+    repeated = m.fct_daily_auth_metrics.groupBy(*SLICE_KEYS).count().filter("count > 1")
+    assert repeated.count() == 0
+
+
+def test_funnel_rows_are_attempters(m):
+    assert value(m.int_auth_funnel, F.min("step1_login_attempted")) == 1
+
+
+def test_scores_stay_on_the_scale(m):
+    scores = m.user_friction_scores
+    assert value(scores, F.min("friction_score")) >= 0
+    assert value(scores, F.max("friction_score")) == 100
+
+
+def test_slices_without_rates_have_no_funnel_row(m):
+    facts = m.fct_daily_auth_metrics.filter(F.col("login_conversion_rate").isNull())
+    assert facts.join(m.daily_funnel, SLICE_KEYS, "left_semi").count() == 0

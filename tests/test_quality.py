@@ -1,0 +1,144 @@
+"""Data-quality operators on planted violations, alone and counted together."""
+
+from datetime import date, datetime
+
+import pytest
+
+from authlytics.operators import quality, staging
+from authlytics.operators.quality import Check
+from authlytics.plans.checks import DECLARED_CHECKS
+from fixtures import dicts, events, models, only, users
+
+AS_OF = datetime(2024, 6, 5)
+
+
+def test_not_null_returns_the_rows(spark):
+    bad = quality.not_null(events(spark, {}, {"user_id": None}), "user_id")
+    assert [r["event_id"] for r in dicts(bad)] == ["e1"]
+
+
+def test_unique_ignores_nulls(spark):
+    ids = ["a", "a", "b", None, None]
+    bad = quality.unique(events(spark, *[{"event_id": i} for i in ids]), "event_id")
+    assert dicts(bad) == [{"unique_field": "a", "n_records": 2}]
+
+
+def test_accepted_values_never_reports_nulls(spark):
+    values = ["x", "y", "y", None]
+    rows = events(spark, *[{"device_type": v} for v in values])
+    bad = quality.accepted_values(rows, "device_type", ("x",))
+    assert dicts(bad) == [{"value_field": "y", "n_records": 2}]
+
+
+def test_future_events(spark):
+    rows = models(spark, [{}, {"event_ts": "2024-06-05 00:00:00"}, {"event_ts": "2024-06-06"}])
+    bad = only(quality.future_events(rows.stg_auth_events, AS_OF))
+    assert bad == {"event_id": "e2", "event_ts": datetime(2024, 6, 6), "check_ts": AS_OF}
+
+
+def test_future_events_default_to_now(spark):
+    rows = models(spark, [{}, {"event_ts": "2999-01-01"}]).stg_auth_events
+    assert only(quality.future_events(rows))["event_id"] == "e1"
+
+
+def test_low_conversion_looks_at_seven_days(spark):
+    days = [(1, "logout"), (2, "logout"), (3, "login_success")]
+    rows = [
+        {"event_ts": f"2024-06-{day:02d} 10:00:00", "session_id": f"s{day}", "event_type": kind}
+        for day, after in days
+        for kind in ("login_attempt", after)
+    ]
+    rows += [
+        {"event_ts": "2024-06-04 10:00:00", "session_id": "s4", "event_type": "logout"},
+    ]
+    fct = models(spark, rows).fct_daily_auth_metrics
+    bad = quality.low_conversion(fct, date(2024, 6, 9))
+    assert dicts(bad) == [{"metric_date": datetime(2024, 6, 2), "avg_daily_conversion": 0.0}]
+    assert dicts(quality.low_conversion(fct)) == []
+
+
+def test_summary(spark):
+    rows = events(spark, {"user_id": None}, {"user_id": None})
+    found = only(quality.summary(quality.not_null(rows, "user_id")))
+    assert found == {"failures": 2, "should_warn": True, "should_error": True}
+    clean = only(quality.summary(quality.not_null(rows, "event_id")))
+    assert clean == {"failures": 0, "should_warn": False, "should_error": False}
+
+
+def one_by_one(relations, checks):
+    operators = {
+        "not_null": lambda r, c: quality.not_null(r, c.column),
+        "unique": lambda r, c: quality.unique(r, c.column),
+        "accepted_values": lambda r, c: quality.accepted_values(r, c.column, c.values),
+        "future_events": lambda r, c: quality.future_events(r, AS_OF),
+        "low_conversion": lambda r, c: quality.low_conversion(r, AS_OF.date()),
+    }
+    return {
+        c.name: only(quality.summary(operators[c.kind](relations[c.relation], c)))["failures"]
+        for c in checks
+    }
+
+
+@pytest.fixture
+def dirty_relations(spark):
+    m = models(
+        spark,
+        [
+            {},
+            {"event_id": "same"},
+            {"event_id": "same"},
+            {"event_id": "half"},
+            {"event_id": "half", "user_id": None},
+            {"event_id": None},
+            {"event_id": None},
+            {"event_type": None},
+            {"event_type": "odd"},
+            {"event_type": "odd"},
+            {"event_type": "odder", "event_ts": "2024-06-06 00:00:00"},
+            {"event_ts": None},
+        ],
+        [{}, {}, {"user_id": None}, {"user_id": "u2"}],
+    )
+    names = {check.relation for check in DECLARED_CHECKS}
+    return {name: getattr(m, name) for name in names}
+
+
+@pytest.mark.parametrize("share_keys", [True, False])
+def test_counted_together_as_one_by_one(spark, dirty_relations, share_keys):
+    kept = {
+        "stg_auth_events": ("raw_auth_events", staging.usable_event()),
+        "stg_users": ("raw_users", staging.usable_user()),
+    }
+    together = quality.check_all(
+        dirty_relations, DECLARED_CHECKS, AS_OF, kept if share_keys else None
+    )
+    found = {r["check_name"]: r["failures"] for r in dicts(together)}
+    assert found == one_by_one(dirty_relations, DECLARED_CHECKS)
+    assert len(found) == 24
+    assert {name: n for name, n in found.items() if n} == {
+        "raw_auth_events.event_id.not_null": 2,
+        "raw_auth_events.event_id.unique": 2,
+        "raw_auth_events.user_id.not_null": 1,
+        "raw_auth_events.event_type.not_null": 1,
+        "raw_auth_events.event_ts.not_null": 1,
+        "raw_users.user_id.not_null": 1,
+        "raw_users.user_id.unique": 1,
+        "stg_auth_events.event_id.unique": 1,
+        "stg_auth_events.event_type.not_null": 1,
+        "stg_auth_events.event_type.accepted_values": 2,
+        "stg_auth_events.event_ts.future_events": 1,
+        "stg_users.user_id.unique": 1,
+        "user_friction_scores.user_id.unique": 1,
+        "fct_daily_auth_metrics.login_conversion_rate.low_conversion": 1,
+    }
+
+
+def test_empty_relations_pass(spark):
+    checks = [Check("raw_users", "user_id", "not_null"), Check("raw_users", "user_id", "unique")]
+    found = quality.check_all({"raw_users": users(spark)}, checks)
+    assert [r["failures"] for r in dicts(found)] == [0, 0]
+
+
+def test_unknown_kind(spark):
+    with pytest.raises(ValueError):
+        quality.check_all({"raw_users": users(spark)}, [Check("raw_users", "user_id", "odd")])
