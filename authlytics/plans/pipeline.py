@@ -1,6 +1,6 @@
 """The full build: staging views, marts from one event scan, checks and reports."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,33 +23,43 @@ REPORTS = {
 }
 
 
+def _fct(rollup: DataFrame, users: DataFrame) -> DataFrame:
+    return marts.fct_daily_auth_metrics(
+        marts.daily_sessions(rollup_sessions(rollup)), marts.daily_funnel(rollup_funnel(rollup))
+    )
+
+
+def _scores(rollup: DataFrame, users: DataFrame) -> DataFrame:
+    return marts.user_friction_scores(marts.user_session_history(rollup_sessions(rollup)), users)
+
+
+MARTS = {"fct_daily_auth_metrics": _fct, "user_friction_scores": _scores}
+
+
 def build_relations(
     spark: SparkSession,
     raw_users: DataFrame,
     raw_auth_events: DataFrame,
     write_mart: Callable[[DataFrame, str], DataFrame],
+    wanted: Iterable[str] = tuple(MARTS),
 ) -> dict[str, DataFrame]:
-    """Write both marts from one scan of the events; sources and staging stay lazy."""
+    """Write the wanted marts from one scan of the events; sources and staging stay lazy."""
     events, users = staging.stg_auth_events(raw_auth_events), staging.stg_users(raw_users)
+    relations = {
+        "raw_users": raw_users,
+        "raw_auth_events": raw_auth_events,
+        "stg_users": users,
+        "stg_auth_events": events,
+    }
     working = WorkingTables(spark)
     try:
         rollup = working.write(auth_rollup(events), "auth_rollup", GRAIN)
-        sessions, funnel = rollup_sessions(rollup), rollup_funnel(rollup)
-        fct = marts.fct_daily_auth_metrics(
-            marts.daily_sessions(sessions), marts.daily_funnel(funnel)
-        )
-        scores = marts.user_friction_scores(marts.user_session_history(sessions), users)
-        return {
-            "raw_users": raw_users,
-            "raw_auth_events": raw_auth_events,
-            "stg_users": users,
-            "stg_auth_events": events,
-            "fct_daily_auth_metrics": write_mart(fct, "fct_daily_auth_metrics"),
-            "user_friction_scores": write_mart(scores, "user_friction_scores"),
-        }
+        for name in wanted:
+            relations[name] = write_mart(MARTS[name](rollup, users), name)
     finally:
         # The marts are written: nothing reads the rollup any more.
         working.drop()
+    return relations
 
 
 def run_checks(relations: dict[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
