@@ -15,7 +15,8 @@ from authlytics.schemas import DQ_SUMMARY
 
 
 def _check_time(as_of: datetime | None) -> Column:
-    return F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    # As text: a datetime literal would pass through the session time zone.
+    return F.localtimestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp_ntz")
 
 
 def _check_day(as_of: date | None) -> Column:

@@ -53,13 +53,16 @@ def load_raw(rows: DataFrame, schema: StructType, table: str) -> None:
 def publish_table(rows: DataFrame, table: str) -> DataFrame:
     """Full refresh: build under another name, then take the place of the old table.
 
-    A failed build leaves the published table as it was.
+    A failed build leaves the published table as it was; the old one is dropped last.
     """
-    spark, building = rows.sparkSession, f"{table}__building"
+    spark, building, replaced = rows.sparkSession, f"{table}__building", f"{table}__replaced"
     spark.sql(f"DROP TABLE IF EXISTS {building}")
     rows.write.saveAsTable(building)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {replaced}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {replaced}")
     spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {replaced}")
     return spark.table(table)
 
 

@@ -10,13 +10,12 @@ from authlytics.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    # A warehouse of its own: tests that publish tables leave nothing in the repository.
-    SparkSession.builder.config(
-        "spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))
-    )
-    session = local_session("8", "4g")
+    # Folders of its own: tests that write leave nothing in the repository.
+    folders = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("working")),
+    }
+    session = local_session("8", "4g", folders)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

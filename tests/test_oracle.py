@@ -23,3 +23,20 @@ def test_matches_sql(spark, tables, name):
     expected = tables.sql(registry.oracle_sql()[name]).to_arrow_table()
     assert expected.num_rows > 0
     assert_same(QUERIES[name](spark, SF_DIR), expected)
+
+
+@pytest.mark.parametrize(
+    "name", ["stg_auth_events", "int_user_sessions", "dq_future_events", "dq_low_conversion"]
+)
+def test_result_does_not_depend_on_the_session_zone(spark, tables, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        expected = tables.sql(registry.oracle_sql()[name]).to_arrow_table()
+        assert_same(QUERIES[name](spark, SF_DIR), expected)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_entry(spark):
+    assert len(registry.entry(spark).collect()) == 5
