@@ -23,14 +23,17 @@ REPORTS = {
 }
 
 
-def _fct(rollup: DataFrame, users: DataFrame) -> DataFrame:
+def _fct(working: WorkingTables, rollup: DataFrame, users: DataFrame) -> DataFrame:
     return marts.fct_daily_auth_metrics(
         marts.daily_sessions(rollup_sessions(rollup)), marts.daily_funnel(rollup_funnel(rollup))
     )
 
 
-def _scores(rollup: DataFrame, users: DataFrame) -> DataFrame:
-    return marts.user_friction_scores(marts.user_session_history(rollup_sessions(rollup)), users)
+def _scores(working: WorkingTables, rollup: DataFrame, users: DataFrame) -> DataFrame:
+    """Histories are written first: adaptive execution can split a hot user id of a join only
+    where both sides are plain shuffles, not where one is still an aggregate."""
+    history = marts.user_session_history(rollup_sessions(rollup))
+    return marts.user_friction_scores(working.write(history, "user_session_history"), users)
 
 
 MARTS = {"fct_daily_auth_metrics": _fct, "user_friction_scores": _scores}
@@ -55,9 +58,9 @@ def build_relations(
     try:
         rollup = working.write(auth_rollup(events), "auth_rollup", GRAIN)
         for name in wanted:
-            relations[name] = write_mart(MARTS[name](rollup, users), name)
+            relations[name] = write_mart(MARTS[name](working, rollup, users), name)
     finally:
-        # The marts are written: nothing reads the rollup any more.
+        # The marts are written: nothing reads the working tables any more.
         working.drop()
     return relations
 
