@@ -29,7 +29,7 @@ def same_rows(left, right):
     )
 
 
-def test_build_all_equals_the_lazy_models(spark, database, tmp_path):
+def test_build_all_equals_the_lazy_models(spark, database):
     lazy = Models(
         lambda: driver_tables.raw_users(spark, SF_DIR),
         lambda: driver_tables.raw_auth_events(spark, SF_DIR),
