@@ -1,6 +1,5 @@
 """Sinks: raw loads, published tables, views, and working tables between jobs."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,17 +11,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def working_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints.
-
-    Only a local session without one gets a temporary folder: on a cluster the executors
-    must all see the files, and find them again when a node is lost.
-    """
+    """The shared folder the cluster names for checkpoints; where it names none, one is set
+    beside the tables, in the warehouse, which all executors share as well."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="authlytics-")
-    raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+    if not named:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        spark.sparkContext.setCheckpointDir(f"{warehouse}/_working")
+        named = spark.sparkContext.getCheckpointDir()
+    return named
 
 
 class WorkingTables:
@@ -31,6 +27,8 @@ class WorkingTables:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{working_folder(spark)}/authlytics-{uuid.uuid4().hex}"
+        # What nobody drops before goes with the driver.
+        self._file_system().deleteOnExit(self._path(self.folder))
 
     def write(self, rows: DataFrame, name: str, *partition_columns: str) -> DataFrame:
         """Write the rows and return a DataFrame that reads them back."""
@@ -38,11 +36,17 @@ class WorkingTables:
         rows.write.partitionBy(*partition_columns).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def drop(self) -> None:
-        """Delete the run's folder; DataFrames that read from it become unusable."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Delete the named tables, or the run's folder; what reads them becomes unusable."""
+        for path in [f"{self.folder}/{name}" for name in names] or [self.folder]:
+            self._file_system().delete(self._path(path), True)
+
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _file_system(self):
+        settings = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return self._path(self.folder).getFileSystem(settings)
 
 
 def load_raw(rows: DataFrame, schema: StructType, table: str) -> None:
