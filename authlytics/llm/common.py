@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from authlytics.plans.storage import WorkingTables
+
 # Lower-cases A-Z in UTF-8 bytes and leaves every other byte alone.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -21,6 +27,28 @@ BITMAP_BITS = 1 << 26  # 8 MB on the driver and in each worker, whatever the siz
 _BUCKET_BITS = 32768  # of one row of bitmap_construct_agg
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        root, name = os.path.split(package)
+        archive = os.path.join(tempfile.mkdtemp(), name)
+        context.addPyFile(shutil.make_archive(archive, "zip", root, name))
+        _shipped.add(context.applicationId)
+
+
+class Work(WorkingTables):
+    """Working tables for jobs whose tasks run code of this package."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark)
+        ship(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -100,7 +128,7 @@ def int_lists(flat: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Li
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def connected(links: DataFrame, working, name: str) -> DataFrame:
+def connected(links: DataFrame, working: Work, name: str) -> DataFrame:
     """(node, root) for every node of the links (a, b): root is the least node of its component.
 
     Alternates large stars and small stars until nothing changes: in each round a node's

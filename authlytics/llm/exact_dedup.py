@@ -19,8 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from authlytics.llm.common import bitmap, fresh_name, in_bitmap, shuffle_partitions, utf8
-from authlytics.plans.storage import WorkingTables
+from authlytics.llm.common import Work, bitmap, fresh_name, in_bitmap, shuffle_partitions, utf8
 
 # Fixed values: `[\x20\x09-\x0D]` is not part of a text's identity.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -201,7 +200,7 @@ def _suspect_texts(bits: np.ndarray):
     return select
 
 
-def exact_dedup(docs: DataFrame, working: WorkingTables, owners: int | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, working: Work, owners: int | None = None) -> DataFrame:
     """A row per document: doc_id, chars, digest, keep_id, keep_chars, group_size, kept.
 
     Texts are equal when their bytes are, without blanks `[\\x20\\x09-\\x0D]`; a null text is
@@ -257,7 +256,7 @@ def exact_dedup(docs: DataFrame, working: WorkingTables, owners: int | None = No
     )
 
 
-def keep_first(docs: DataFrame, working: WorkingTables) -> DataFrame:
+def keep_first(docs: DataFrame, working: Work) -> DataFrame:
     """The rows that exact_dedup keeps, with all their columns."""
     decided = working.write(exact_dedup(docs, working), "decided")
     name = fresh_name(docs, "key")

@@ -13,4 +13,33 @@ STATEMENTS: dict[str, str] = {
             FROM d
             WINDOW best AS (PARTITION BY bare ORDER BY length(text) DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, kept, sha256(bare) AS text_sha256 FROM ranked""",
+    "op10_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                       WHEN len(words) = 1 THEN words
+                       ELSE [words[i] || ' ' || words[i + 1]
+                             for i in generate_series(1, len(words) - 1)] END) AS shingle
+            FROM w WHERE len(words) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+            GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common c
+            JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+            WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+        edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reached AS (
+            SELECT doc_id AS node, doc_id AS id FROM documents
+            UNION
+            SELECT e.b, r.id FROM reached r JOIN edges e ON e.a = r.node),
+        components AS (SELECT node, min(id) AS component_id FROM reached GROUP BY node)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents JOIN components ON node = doc_id LEFT JOIN sizes USING (doc_id)""",
 }

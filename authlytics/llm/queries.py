@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from authlytics.llm import exact_dedup, oracle
-from authlytics.llm.common import table
-from authlytics.plans.storage import WorkingTables
+from authlytics.llm import exact_dedup, near_dedup, oracle
+from authlytics.llm.common import Work, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), WorkingTables(spark))
+    decided = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), Work(spark))
     return decided.select(
         "doc_id",
         "keep_id",
@@ -26,9 +25,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_dedup(table(spark, sf_dir, "documents"), Work(spark), words=2)
+    return found.drop("node")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
+        "op10_near_dedup": op10_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authlytics.llm import exact_dedup
-from authlytics.llm.common import table
-from authlytics.plans.storage import WorkingTables
+from authlytics.llm import exact_dedup, near_dedup
+from authlytics.llm.common import Work, table
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal without blanks, the longest stays, then the smallest doc_id."""
-    return exact_dedup.keep_first(docs, WorkingTables(spark))
+    return exact_dedup.keep_first(docs, Work(spark))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, over shingles of five words and a similarity of 0.8."""
+    return near_dedup.keep_one(docs, Work(spark))
 
 
 STAGES = [
     ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
 ]
 
 # Language prediction, sketches and byte-pair merges have no SQL form.
@@ -26,5 +31,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = WorkingTables(spark).write(stage(spark, docs, sf_dir), f"stage-{number}")
+        docs = Work(spark).write(stage(spark, docs, sf_dir), f"stage-{number}")
     return docs
