@@ -48,6 +48,11 @@ class Work(WorkingTables):
         super().__init__(spark)
         ship(spark)
 
+    def write(self, rows: DataFrame, name: str, *partition_columns: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        rows.write.partitionBy(*partition_columns).option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -66,6 +71,21 @@ def fresh_name(rows: DataFrame, name: str) -> str:
     return name
 
 
+def row_key() -> Column:
+    """Tells rows of a table of documents apart; repeated rows have the same key."""
+    return F.struct(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"),
+    )
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents, with all their columns, whose key is not in the one column `key` of gone."""
+    name = fresh_name(docs, "key")
+    gone = gone.select(F.col("key").alias(name))
+    return docs.withColumn(name, row_key()).join(gone, name, "left_anti").drop(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

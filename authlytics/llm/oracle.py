@@ -1,6 +1,40 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
 STATEMENTS: dict[str, str] = {
+    "op1_decontaminate": r"""
+        WITH words AS (
+            SELECT true AS doc, doc_id AS id, text FROM documents
+            UNION ALL SELECT false, item_id, text FROM benchmark),
+        split AS (
+            SELECT doc, id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM words),
+        windows AS (
+            SELECT DISTINCT id AS item_id, least(len(w), 10) AS width,
+                   array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+            FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i
+                  FROM split WHERE NOT doc AND len(w) > 0)),
+        places AS (
+            SELECT id AS doc_id, width, i, array_to_string(w[i:i + width - 1], ' ') AS phrase
+            FROM (SELECT id, w, width, unnest(generate_series(1, len(w) - width + 1)) AS i
+                  FROM split, (SELECT DISTINCT width FROM windows)
+                  WHERE doc AND len(w) >= width)),
+        hits AS (SELECT doc_id, item_id, i, p.width FROM places p JOIN windows USING (width, phrase)),
+        hit_words AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(i, i + width - 1)) AS place FROM hits)
+            GROUP BY doc_id),
+        hit_items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+        SELECT s.id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM split s LEFT JOIN hit_words h ON h.doc_id = s.id
+        LEFT JOIN hit_items t ON t.doc_id = s.id
+        WHERE doc""",
     "op5_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS text,

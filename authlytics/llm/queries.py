@@ -8,12 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from authlytics.llm import exact_dedup, near_dedup, oracle
+from authlytics.llm import decontaminate, exact_dedup, near_dedup, oracle
 from authlytics.llm.common import Work, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Work(spark)
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), Work(spark))
     return decided.select(
@@ -27,11 +41,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_dedup(table(spark, sf_dir, "documents"), Work(spark), words=2)
-    return found.drop("node")
+    return found.drop("node", "key")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op5_exact_dedup": op5_exact_dedup,
         "op10_near_dedup": op10_near_dedup,
         "pipeline": corpus_pipeline.run,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authlytics.llm import exact_dedup, near_dedup
+from authlytics.llm import decontaminate, exact_dedup, near_dedup
 from authlytics.llm.common import Work, table
 
 
@@ -18,9 +18,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.keep_one(docs, Work(spark))
 
 
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten consecutive words of a benchmark item go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), Work(spark))
+
+
 STAGES = [
     ("exact dedup", drop_exact_copies),
     ("near dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_passages),
 ]
 
 # Language prediction, sketches and byte-pair merges have no SQL form.
