@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from authlytics.llm import decontaminate, exact_dedup, near_dedup, oracle
+from authlytics.llm import decontaminate, exact_dedup, language, near_dedup, oracle
 from authlytics.llm.common import Work, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "language.*")
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_dedup(table(spark, sf_dir, "documents"), Work(spark), words=2)
     return found.drop("node", "key")
@@ -48,6 +53,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op5_exact_dedup": op5_exact_dedup,
+        "op8_language": op8_language,
         "op10_near_dedup": op10_near_dedup,
         "pipeline": corpus_pipeline.run,
     }

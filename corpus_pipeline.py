@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authlytics.llm import decontaminate, exact_dedup, near_dedup
+from authlytics.llm import decontaminate, exact_dedup, language, near_dedup
 from authlytics.llm.common import Work, table
 
 
+def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that have no letter, or no language that most of their words are of."""
+    return language.keep_identified(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal without blanks, the longest stays, then the smallest doc_id."""
     return exact_dedup.keep_first(docs, Work(spark))
@@ -24,6 +29,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 STAGES = [
+    ("language", drop_unidentified),
     ("exact dedup", drop_exact_copies),
     ("near dedup", drop_near_copies),
     ("decontamination", drop_benchmark_passages),
