@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
-from authlytics.llm import decontaminate, exact_dedup, language, near_dedup, oracle
+from authlytics.llm import bpe, decontaminate, exact_dedup, language, near_dedup, oracle
+from authlytics.llm.byte_pairs import read_vocabulary
 from authlytics.llm.common import Work, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +42,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(
+    spark: SparkSession,
+    sf_dir: str,
+    vocabulary: str = public_tokenizers.path("byte_bpe_50k.json"),
+) -> DataFrame:
+    vocabulary = read_vocabulary(vocabulary)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, Work(spark))
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "language.*")
@@ -53,6 +71,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_bpe": op7_bpe,
         "op8_language": op8_language,
         "op10_near_dedup": op10_near_dedup,
         "pipeline": corpus_pipeline.run,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from authlytics.llm import decontaminate, exact_dedup, language, near_dedup
+from authlytics.llm import bpe, decontaminate, exact_dedup, language, near_dedup
+from authlytics.llm.byte_pairs import read_vocabulary
 from authlytics.llm.common import Work, table
 
 
@@ -28,11 +31,25 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), Work(spark))
 
 
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document: its id, token count, and digests of its ids and of their decoding."""
+    vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode(docs, vocabulary, Work(spark))
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 STAGES = [
     ("language", drop_unidentified),
     ("exact dedup", drop_exact_copies),
     ("near dedup", drop_near_copies),
     ("decontamination", drop_benchmark_passages),
+    ("encoding", encode_texts),
 ]
 
 # Language prediction, sketches and byte-pair merges have no SQL form.
