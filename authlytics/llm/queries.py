@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from authlytics.llm import bpe, decontaminate, exact_dedup, language, near_dedup, oracle
+from authlytics.llm import bpe, decontaminate, exact_dedup, language, near_dedup, oracle, prefix_counts
 from authlytics.llm.byte_pairs import read_vocabulary
 from authlytics.llm.common import Work, table
 
@@ -31,6 +31,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_prefix_counts(
+    spark: SparkSession,
+    sf_dir: str,
+    vocabulary: str = public_tokenizers.path("byte_bpe_50k.json"),
+    limit: int = 512,
+) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = prefix_counts.prefix_counts(docs, read_vocabulary(vocabulary), limit)
+    over = (F.col("n_tokens") > limit).alias("over_limit")
+    return counts.select("doc_id", "n_bytes", "n_tokens", over, "chars_within")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), Work(spark))
     return decided.select(
@@ -70,6 +82,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op4_prefix_counts": op4_prefix_counts,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,
         "op8_language": op8_language,
