@@ -35,6 +35,103 @@ STATEMENTS: dict[str, str] = {
         FROM split s LEFT JOIN hit_words h ON h.doc_id = s.id
         LEFT JOIN hit_items t ON t.doc_id = s.id
         WHERE doc""",
+    "op2_urls": r"""
+        WITH p AS (
+            SELECT page_id,
+                   translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        n AS (SELECT *, regexp_replace(split_part(host, '@', -1), ':[0-9]*$', '') AS name FROM p),
+        l AS (SELECT *, regexp_full_match(name, '[0-9.]+') OR starts_with(name, '[') AS address,
+                     string_split(name, '.') AS labels FROM n),
+        two AS (SELECT *, array_to_string(labels[-2:], '.') AS last_two,
+                       array_to_string(labels[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au',
+                           'co.jp', 'co.nz', 'com.br', 'co.in', 'co.za') AS long FROM l),
+        named AS (
+            SELECT page_id, host, path,
+                   CASE WHEN address THEN name
+                        WHEN long THEN array_to_string(labels[-3:], '.') ELSE last_two END AS domain,
+                   CASE WHEN address THEN '' WHEN long THEN last_two ELSE labels[-1] END AS suffix
+            FROM two),
+        hosts AS (
+            SELECT host, domain, suffix, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad
+            FROM named LEFT JOIN (
+                SELECT doc_id AS page_id, (quality = 0 OR toxic = 1)::INT AS bad FROM labels)
+            USING (page_id) GROUP BY ALL),
+        domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
+        suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
+        level AS (
+            SELECT 'host' AS level, n, bad FROM hosts WHERE n > 0
+            UNION ALL SELECT 'domain', n, bad FROM domains WHERE n > 0
+            UNION ALL SELECT 'suffix', n, bad FROM suffixes WHERE n > 0),
+        moments AS (
+            SELECT level, count(*) AS k, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad,
+                   sum(n * n)::DOUBLE AS squares, sum(bad * bad / n) AS spread
+            FROM level GROUP BY level),
+        chances AS (SELECT *, bad / n * (1 - bad / n) AS chance FROM moments),
+        rooms AS (
+            SELECT *, spread - n * (bad / n) * (bad / n) - (k - 1) * chance AS excess,
+                   (n - squares / n - (k - 1)) * chance AS room FROM chances),
+        correlations AS (
+            SELECT level, CASE WHEN k > 1 AND 0 < bad AND bad < n AND room > 0
+                               THEN least(greatest(excess / room, 0.001), 0.9)
+                               ELSE 0.001 END AS r FROM rooms),
+        strengths AS (
+            SELECT coalesce(max((1 - r) / r) FILTER (level = 'host'), 999) AS host,
+                   coalesce(max((1 - r) / r) FILTER (level = 'domain'), 999) AS domain,
+                   coalesce(max((1 - r) / r) FILTER (level = 'suffix'), 999) AS suffix
+            FROM correlations),
+        overall AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS rate FROM suffixes),
+        suffix_rates AS (
+            SELECT x.suffix, (bad + s.suffix * o.rate) / (n + s.suffix) AS rate
+            FROM suffixes x, strengths s, overall o),
+        domain_rates AS (
+            SELECT d.domain, d.suffix, (bad + s.domain * x.rate) / (n + s.domain) AS rate
+            FROM domains d JOIN suffix_rates x USING (suffix), strengths s),
+        posteriors AS (
+            SELECT h.host, bad + s.host * rate AS a, n - bad + s.host * (1 - rate) AS b
+            FROM hosts h JOIN domain_rates USING (domain, suffix), strengths s),
+        reputed AS (
+            SELECT host, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+                                   > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+            FROM posteriors),
+        rules(rule, name, start, verdict) AS (
+            VALUES ('org/', 'org', '/', 'allow'),
+                   ('example.org/es/', 'example.org', '/es/', 'block'),
+                   ('example.org/en/1', 'example.org', '/en/1', 'block'),
+                   ('com/fr/', 'com', '/fr/', 'allow'),
+                   ('com/de/', 'com', '/de/', 'block')),
+        fitting AS (
+            SELECT host, path, arg_max(rule, length(rule)) AS rule,
+                   arg_max(verdict, length(rule)) AS verdict
+            FROM (SELECT DISTINCT host, path FROM named) JOIN rules
+              ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
+            GROUP BY host, path)
+        SELECT page_id, host, path, f.rule, coalesce(f.verdict, r.verdict) AS verdict
+        FROM named JOIN reputed r USING (host) LEFT JOIN fitting f USING (host, path)""",
+    "op3_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                             (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+        sized AS (
+            SELECT *, length(regexp_replace(regexp_replace(regexp_replace(text,
+                       '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)turn/>', '<\\\1turn/>', 'g'),
+                       '<(\\*)/turn>', '<\\\1/turn>', 'g')) AS chars,
+                   role IS DISTINCT FROM lag(role) OVER (
+                       PARTITION BY conv_id ORDER BY turn, role, text) AS opens
+            FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), ''
+                                 ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                               FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(chars + CASE WHEN opens THEN length(role) + 14 ELSE 7 END)::BIGINT
+                   AS formatted_chars
+        FROM sized GROUP BY conv_id""",
     "op5_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS text,

@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from authlytics.llm import bpe, decontaminate, exact_dedup, language, near_dedup, oracle, prefix_counts
+from authlytics.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    exact_dedup,
+    language,
+    near_dedup,
+    oracle,
+    prefix_counts,
+    urls,
+)
 from authlytics.llm.byte_pairs import read_vocabulary
 from authlytics.llm.common import Work, table
+from authlytics.plans.storage import WorkingTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +42,60 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules that go before any reputation.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the label of the document with its number: bad if of low quality
+    or toxic."""
+    outcomes = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"),
+    )
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, outcomes, URL_RULES, WorkingTables(spark))
+
+
+# A conversation whose texts look like the template.
+TRICKY_ID, TRICKY_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = spark.range(2).select(
+        F.lit(TRICKY_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY_TEXT).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.format_chats(rows.unionByName(tricky))
+    back = formatted.select(
+        "conv_id",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    line = F.lit("\n")
+    said = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line)), ""
+    )
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op4_prefix_counts(
     spark: SparkSession,
     sf_dir: str,
@@ -82,6 +147,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_urls": op2_urls,
+        "op3_chat": op3_chat,
         "op4_prefix_counts": op4_prefix_counts,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,
