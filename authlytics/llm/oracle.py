@@ -144,6 +144,18 @@ STATEMENTS: dict[str, str] = {
             FROM d
             WINDOW best AS (PARTITION BY bare ORDER BY length(text) DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, kept, sha256(bare) AS text_sha256 FROM ranked""",
+    "op9_warc": r"""
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+            FROM pages),
+        r AS (SELECT *, octet_length(payload) >= 100
+                        AND page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL AS revisit
+              FROM p)
+        SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN revisit THEN first_id END AS refers_to, true AS complete
+        FROM r""",
     "op10_near_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(

@@ -20,6 +20,7 @@ from authlytics.llm import (
     oracle,
     prefix_counts,
     urls,
+    warc,
 )
 from authlytics.llm.byte_pairs import read_vocabulary
 from authlytics.llm.common import Work, table
@@ -139,6 +140,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "language.*")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), Work(spark))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_dedup(table(spark, sf_dir, "documents"), Work(spark), words=2)
     return found.drop("node", "key")
@@ -153,6 +158,7 @@ def queries() -> dict[str, Query]:
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,
         "op8_language": op8_language,
+        "op9_warc": op9_warc,
         "op10_near_dedup": op10_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
