@@ -19,6 +19,7 @@ from authlytics.llm import (
     near_dedup,
     oracle,
     prefix_counts,
+    suffix_dedup,
     urls,
     warc,
 )
@@ -120,6 +121,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(
+        table(spark, sf_dir, "documents"), Work(spark), keep_first=False
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_bpe(
     spark: SparkSession,
     sf_dir: str,
@@ -156,6 +170,7 @@ def queries() -> dict[str, Query]:
         "op3_chat": op3_chat,
         "op4_prefix_counts": op4_prefix_counts,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_bpe": op7_bpe,
         "op8_language": op8_language,
         "op9_warc": op9_warc,
