@@ -75,7 +75,7 @@ STATEMENTS: dict[str, str] = {
                    (n - squares / n - (k - 1)) * chance AS room FROM chances),
         correlations AS (
             SELECT level, CASE WHEN k > 1 AND 0 < bad AND bad < n AND room > 0
-                               THEN least(greatest(excess / room, 0.001), 0.9)
+                               THEN least(greatest(excess / room, 0.001), 1.0 / 3)
                                ELSE 0.001 END AS r FROM rooms),
         strengths AS (
             SELECT coalesce(max((1 - r) / r) FILTER (level = 'host'), 999) AS host,

@@ -22,7 +22,7 @@ LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br
 THRESHOLD = 0.5  # rate of bad outcomes
 Z = 1.645  # one-sided, 95 %
 # Bounds of the correlation within a group that the spread may show.
-LEAST_CORRELATION, MOST_CORRELATION = 0.001, 0.9
+LEAST_CORRELATION, MOST_CORRELATION = 0.001, 1 / 3
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
