@@ -1,10 +1,11 @@
 """Byte-pair encoding through a table of distinct words, and decoding.
 
-Spark splits texts into words.  Each segment (one Arrow batch of documents) numbers its distinct
-words by frequency and keeps its documents as runs of those numbers, so a word that makes up a third
+Spark splits texts into words.  Each segment (documents of one partition with about SEGMENT_WORDS
+words) numbers its distinct words by frequency and keeps its documents as runs of those numbers, so a word that makes up a third
 of all words costs a byte per occurrence and is sent once per segment.  Distinct words go to the
 owner of their hash, which encodes each of them once, however many segments sent it, and answers
-with its ids; a segment then replaces numbers by ids, position by position.  Decoding joins ids
+with its ids; a segment then replaces numbers by ids, position by position.  Runs are bucketed by
+segment and stay where they are; only words and their ids are shuffled.  Decoding joins ids
 with the table of pieces, whose size is that of the vocabulary.
 """
 
@@ -22,7 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authlytics.llm.byte_pairs import PATTERN, BytePairs
-from authlytics.llm.common import Work, row_key, shuffle_partitions
+from authlytics.llm.common import Work, row_key, shuffle_partitions, worker_cache
+
+SEGMENT_WORDS = 6_000_000
 
 _SPLIT = """segment long, place int, doc struct<doc_id: long, key: struct<doc_id: long, text: long>>,
     numbers binary, owner int, owned binary, lengths binary, words binary"""
@@ -83,37 +86,51 @@ def split_words(text: Column, specials: list[str]) -> Column:
 
 def _number(owners: int):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition = TaskContext.get().partitionId()
-        for chunk, batch in enumerate(batches):
-            segment = partition << 32 | chunk
+        partition, chunk, words = TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[pa.Array, np.ndarray, pa.DictionaryArray]] = []
+        for batch in batches:
             lists = batch.column(1)
-            lengths = np.diff(lists.offsets.to_numpy())
             coded = lists.flatten().dictionary_encode()
-            places = coded.indices.to_numpy()
-            counts = np.bincount(places, minlength=len(coded.dictionary))
-            by_count = np.argsort(-counts, kind="stable")
-            rank = np.empty(len(counts), dtype=np.int64)
-            rank[by_count] = np.arange(len(counts))
-            numbers, ends = rank[places], np.cumsum(lengths)
-            runs = [pack(numbers[i:j]) for i, j in zip(ends - lengths, ends)]
-            yield _split_rows(segment, len(lengths), batch.column(0), runs, None)
-            words = [w.encode() for w in coded.dictionary.take(pa.array(by_count)).to_pylist()]
-            owner = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % owners
-            order = np.argsort(owner, kind="stable")
-            cuts = np.searchsorted(owner[order], np.arange(owners + 1))
-            sent = []
-            for k in np.flatnonzero(np.diff(cuts)):
-                own = order[cuts[k] : cuts[k + 1]]
-                held = [words[i] for i in own]
-                sizes = pack(np.array([len(w) for w in held]))
-                sent.append((int(k), pack(np.diff(own, prepend=0)), sizes, b"".join(held)))
-            if sent:
-                docs = pa.nulls(len(sent), batch.column(0).type)
-                yield _split_rows(segment, len(sent), docs, None, list(zip(*sent)))
+            held.append((batch.column(0), np.diff(lists.offsets.to_numpy()), coded))
+            words += len(coded)
+            if words >= SEGMENT_WORDS:
+                yield from _segment(partition << 32 | chunk, held, owners)
+                chunk, words, held = chunk + 1, 0, []
+        if held:
+            yield from _segment(partition << 32 | chunk, held, owners)
 
     return number
 
 
+def _segment(segment: int, held: list, owners: int) -> Iterator[pa.RecordBatch]:
+    """The documents of a segment as runs of numbers, then its words for each owner."""
+    unified = pa.chunked_array([coded for _, _, coded in held]).unify_dictionaries()
+    dictionary = unified.chunk(0).dictionary
+    counts = np.zeros(len(dictionary), dtype=np.int64)
+    for chunk in unified.chunks:
+        counts += np.bincount(chunk.indices.to_numpy(), minlength=len(counts))
+    by_count = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(counts), dtype=np.int32)
+    rank[by_count] = np.arange(len(counts))
+    for (docs, lengths, _), chunk in zip(held, unified.chunks):
+        numbers, ends = rank[chunk.indices.to_numpy()], np.cumsum(lengths)
+        runs = [pack(numbers[i:j]) for i, j in zip(ends - lengths, ends)]
+        yield _split_rows(segment, len(lengths), docs, runs, None)
+    words = [w.encode() for w in dictionary.take(pa.array(by_count)).to_pylist()]
+    owner = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % owners
+    order = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order], np.arange(owners + 1))
+    sent = []
+    for k in np.flatnonzero(np.diff(cuts)):
+        own = order[cuts[k] : cuts[k + 1]]
+        mine = [words[i] for i in own]
+        sizes = pack(np.array([len(w) for w in mine]))
+        sent.append((int(k), pack(np.diff(own, prepend=0)), sizes, b"".join(mine)))
+    if sent:
+        docs = pa.nulls(len(sent), held[0][0].type)
+        yield _split_rows(segment, len(sent), docs, None, list(zip(*sent)))
+
+
 def _split_rows(segment: int, n: int, docs, runs, sent) -> pa.RecordBatch:
     owner, owned, lengths, words = sent or [[None] * n] * 4
     return pa.RecordBatch.from_arrays(
@@ -134,23 +151,14 @@ def _split_rows(segment: int, n: int, docs, runs, sent) -> pa.RecordBatch:
 # -- encoding ------------------------------------------------------------------------
 
 
-class _Loaded:
-    """The vocabulary as a worker has parsed it last."""
-
-    text: str | None = None
-    pairs: BytePairs | None = None
-
-    @classmethod
-    def get(cls, text: str) -> BytePairs:
-        if cls.text != text:
-            cls.text, cls.pairs = text, BytePairs(text)
-        return cls.pairs
+def _loaded(vocabulary: str) -> BytePairs:
+    return worker_cache(("bpe", zlib.crc32(vocabulary.encode())), lambda: BytePairs(vocabulary))
 
 
 def _encode_distinct(vocabulary):
     def encode(batch: pa.Table) -> pa.Table:
         """One owner's words, each encoded once, and the ids for every segment that sent it."""
-        pairs = _Loaded.get(vocabulary.value)
+        pairs = _loaded(vocabulary.value)
         table: dict[bytes, list[int]] = {w.encode(): [i] for w, i in pairs.specials.items()}
         answers = []
         for sizes, words in zip(*(batch.column(c).to_pylist() for c in ("lengths", "words"))):
@@ -222,9 +230,9 @@ def encode(docs: DataFrame, vocabulary: str, working: Work) -> DataFrame:
     )
     words = split_words(F.coalesce("text", F.lit("")), specials)
     split = docs.select(doc.alias("doc"), words.alias("words"))
-    split = working.write(
-        split.mapInArrow(_number(shuffle_partitions(spark)), _SPLIT), "split"
-    )
+    split = split.mapInArrow(_number(shuffle_partitions(spark)), _SPLIT)
+    # A document's words take many times its own room.
+    split = working.write_bucketed(split, "split", "segment", batch_rows=500)
     answers = (
         split.filter("owner IS NOT NULL")
         .select("segment", "owner", "owned", "lengths", "words")
@@ -259,7 +267,7 @@ def decode(encoded: DataFrame, vocabulary: str, name: str = "decoded") -> DataFr
     at = encoded.columns.index("ids")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Loaded.get(sent.value)
+        pairs = _loaded(sent.value)
         size = max(pairs.pieces) + 1
         pieces = pa.array([pairs.pieces.get(i, b"") for i in range(size)], pa.large_binary())
         for batch in batches:

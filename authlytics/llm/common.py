@@ -5,6 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +17,8 @@ from pyspark.sql import functions as F
 
 from authlytics.plans.storage import WorkingTables
 
+T = TypeVar("T")
+
 # Lower-cases A-Z in UTF-8 bytes and leaves every other byte alone.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -27,6 +33,36 @@ BITMAP_BITS = 1 << 26  # 8 MB on the driver and in each worker, whatever the siz
 _BUCKET_BITS = 32768  # of one row of bitmap_construct_agg
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send Python so many rows at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+_held: list = [None, None]
+
+
+def worker_cache(name: object, make: Callable[[], T]) -> T:
+    """What a task of the same name has left in this Python worker, else a new one.
+
+    A worker keeps one at a time, so that operators that run one after the other in the same
+    workers do not add up.
+    """
+    if _held[0] != name:
+        _held[:] = [None, None]
+        _held[:] = [name, make()]
+    return _held[1]
+
+
 _shipped: set[str] = set()
 
 
@@ -41,6 +77,9 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+BATCH_ROWS = 2000  # that a job of an operator sends Python at a time
+
+
 class Work(WorkingTables):
     """Working tables for jobs whose tasks run code of this package."""
 
@@ -50,9 +89,30 @@ class Work(WorkingTables):
 
     def write(self, rows: DataFrame, name: str, *partition_columns: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        rows.write.partitionBy(*partition_columns).option("compression", "zstd").parquet(path)
+        with arrow_rows(self.spark, BATCH_ROWS):
+            rows.write.partitionBy(*partition_columns).option("compression", "zstd").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def write_bucketed(
+        self, rows: DataFrame, name: str, column: str, batch_rows: int = BATCH_ROWS
+    ) -> DataFrame:
+        """Write the rows so that grouping them by the column needs no shuffle.
+
+        The catalog learns of the buckets only until the table has been read by name: files and the
+        returned rows don't depend on its entry.
+        """
+        table_name = f"working_{uuid.uuid4().hex}"
+        with arrow_rows(self.spark, batch_rows):
+            (
+                rows.write.bucketBy(shuffle_partitions(self.spark), column)
+                .option("path", f"{self.folder}/{name}")
+                .option("compression", "zstd")
+                .saveAsTable(table_name)
+            )
+        written = self.spark.table(table_name)
+        self.spark.sql(f"DROP TABLE {table_name}")
+        return written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -107,29 +167,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def bitmap(rows: DataFrame, key: Column) -> np.ndarray:
+def bitmap(rows: DataFrame, key: Column, bits: int = BITMAP_BITS) -> np.ndarray:
     """The 64-bit keys as a bitmap of fixed size, for leaving out most rows before a shuffle.
 
     A key that is there always has its bit set; others rarely, until the bitmap fills up.  A
     full one lets all rows pass, so it never changes a result.
     """
-    place = F.pmod(key, F.lit(BITMAP_BITS))
+    place = F.pmod(key, F.lit(bits))
     parts = (
         rows.select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-        .collect()  # at most BITMAP_BITS / 32768 rows of 4 KB
+        .collect()  # at most bits / 32768 rows of 4 KB
     )
-    whole = np.zeros(BITMAP_BITS // 8 + _BUCKET_BITS // 8, dtype=np.uint8)
-    for bucket, bits in parts:
+    whole = np.zeros(bits // 8 + _BUCKET_BITS // 8, dtype=np.uint8)
+    for bucket, code in parts:
         start = bucket * (_BUCKET_BITS // 8)
-        whole[start : start + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+        whole[start : start + len(code)] = np.frombuffer(code, dtype=np.uint8)
     return whole
 
 
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the signed 64-bit keys may be in the bitmap."""
-    place = np.mod(keys.astype(np.int64), np.int64(BITMAP_BITS))
+    place = np.mod(keys.astype(np.int64), np.int64(8 * len(bits) - _BUCKET_BITS))
     bucket, position = _bucket(place)
     return (bits[bucket * (_BUCKET_BITS // 8) + (position >> 3)] >> (position & 7)) & 1 == 1
 
