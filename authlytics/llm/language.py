@@ -10,8 +10,9 @@ over all words of a text gives each word's distribution; their mean is the text'
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from authlytics.llm.common import fresh_name, ship
+from authlytics.llm.common import fresh_name, ship, worker_cache
 
 UNDETERMINED = "und"
 
@@ -33,8 +34,8 @@ EPOCHS = 4
 RATE = 0.3
 PENALTY = 1e-5
 _WORD = re.compile(r"[^\W\d_]+")
-_STEP_WORDS = 1 << 21  # words, with padding, that go through forward-backward together
-_CACHED_WORDS = 1 << 19
+_STEP_WORDS = 1 << 18  # words, with padding, that go through forward-backward together
+_CACHED_WORDS = 1 << 18
 
 
 @dataclass
@@ -263,26 +264,29 @@ class Tagger:
         self.places: dict[bytes, int] = {}
         self.scores = np.zeros((0, len(model.languages)))
 
-    def _place(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+    def _place(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """Each text's words as rows of the scores; the words themselves are not kept."""
         if len(self.places) > _CACHED_WORDS:
-            self.places, self.scores = {}, self.scores[:0]
-        known = len(self.places)
+            self.places, self.scores = {}, self.scores[:0].copy()
         new: list[bytes] = []
-        for words in texts:
+        known, result = len(self.places), []
+        for text in texts:
+            words = words_of(text)
             for word in words:
                 if word not in self.places:
                     self.places[word] = known + len(new)
                     new.append(word)
-        if new:
-            self.scores = np.concatenate([self.scores, emissions(self.model, new)])
-        get = self.places.__getitem__
-        return [np.fromiter(map(get, w), dtype=np.int64, count=len(w)) for w in texts]
+            get = map(self.places.__getitem__, words)
+            result.append(np.fromiter(get, dtype=np.int32, count=len(words)))
+        scores = [emissions(self.model, new[i : i + 10_000]) for i in range(0, len(new), 10_000)]
+        self.scores = np.concatenate([self.scores, *scores])
+        return result
 
-    def predict(self, texts: list[list[bytes]]) -> np.ndarray:
+    def predict(self, texts: Iterable[str | None]) -> np.ndarray:
         """(texts, languages): the mean of the words' probabilities; zeros without words."""
         places = self._place(texts)
         lengths = np.array([len(p) for p in places], dtype=np.int64)
-        result = np.zeros((len(texts), len(self.model.languages)))
+        result = np.zeros((len(places), len(self.model.languages)))
         order = np.argsort(lengths, kind="stable")
         order = order[lengths[order] > 0]
         start = 0
@@ -306,9 +310,6 @@ class Tagger:
         return result
 
 
-_taggers: dict[int, Tagger] = {}
-
-
 def identify(docs: DataFrame, name: str = "language") -> DataFrame:
     """The documents with a struct (lang_pred, score) more, learned from their own labels.
 
@@ -319,19 +320,16 @@ def identify(docs: DataFrame, name: str = "language") -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast(train(sample(docs)))
+    model, token = spark.sparkContext.broadcast(train(sample(docs))), uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         trained = model.value
-        if trained is not None and id(trained) not in _taggers:
-            _taggers.clear()
-            _taggers[id(trained)] = Tagger(trained)
+        tagger = trained and worker_cache(("tagger", token), lambda: Tagger(trained))
         for batch in batches:
-            texts = [words_of(text) for text in batch]
-            best, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            if trained is not None:
-                found = _taggers[id(trained)].predict(texts)
+            best, score = [UNDETERMINED] * len(batch), np.zeros(len(batch))
+            if tagger is not None:
+                found = tagger.predict(batch)
                 languages = np.array(trained.languages, dtype=object)
                 top = found.argmax(axis=1)
                 score = np.clip(found.max(axis=1), 0, 1)
@@ -341,8 +339,8 @@ def identify(docs: DataFrame, name: str = "language") -> DataFrame:
     return docs.withColumn(name, predict("text"))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose words mostly are of one language, with all their columns."""
+def keep_identified(docs: DataFrame, least: float = 0.4) -> DataFrame:
+    """The documents in which one language has at least that score, with all their columns."""
     name = fresh_name(docs, "language")
     found = identify(docs, name)
     clear = (F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["score"] >= least)
