@@ -75,6 +75,7 @@ DEVICES = [
     " mobile_ios",
 ]
 
+# Age bands, by remainder.
 AGE_GROUPS = ["18-24", "25-34", "35-44", "45-54", "55+"]
 
 
@@ -100,8 +101,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _with_profile(customer_rows: DataFrame, nation: DataFrame) -> DataFrame:
-    """Add country, subscription and MFA setting to rows that carry customer columns."""
-    return customer_rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).withColumns(
+    """Add country, subscription and MFA setting to rows that carry customer columns.
+
+    Rows of an unknown customer or nation stay, without what is unknown.
+    """
+    known = customer_rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return known.withColumns(
         {
             "country": F.concat(F.lit(" "), F.lower("n_name")),
             "subscription_type": _lookup(F.col("c_mktsegment"), SUBSCRIPTIONS),
@@ -112,7 +117,7 @@ def _with_profile(customer_rows: DataFrame, nation: DataFrame) -> DataFrame:
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    customers = _table(spark, sf_dir, "customer").filter(key % 50 != 49)
+    customers = _table(spark, sf_dir, "customer")
     created_day = F.date_add(F.lit("2023-01-01").cast("date"), (key * 37 % 366).cast("int"))
     users = _with_profile(customers, _table(spark, sf_dir, "nation")).select(
         F.concat(F.lit("usr_"), key).alias("user_id"),
@@ -150,11 +155,15 @@ def raw_auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Customers are joined before nations, so that Spark judges by its own size whether the
     # customer table is small enough to broadcast; a shuffled join splits a hot user.
-    of_customer = typed.join(_table(spark, sf_dir, "customer"), user == F.col("c_custkey"))
+    customers = _table(spark, sf_dir, "customer")
+    of_customer = typed.join(customers, user == F.col("c_custkey"), "left")
+    session = F.concat(F.lit("sess_"), user, F.lit("_"), F.col("bucket"))
+    # Ids that no customer has, and users all of whose session ids are missing.
+    unknown = F.when(F.col("event_id") % 83 == 0, "usr_x").otherwise("usr_")
     raw = _with_profile(of_customer, _table(spark, sf_dir, "nation")).select(
         _null_every(97, F.concat(F.lit("evt_"), F.col("event_id"))).alias("event_id"),
-        F.concat(F.lit("sess_"), user, F.lit("_"), F.col("bucket")).alias("session_id"),
-        _null_every(89, F.concat(F.lit("usr_"), user)).alias("user_id"),
+        F.when(user % 149 != 148, session).alias("session_id"),
+        _null_every(89, F.concat(unknown, user)).alias("user_id"),
         dirty_type.alias("event_type"),
         _by_remainder((user * 7 + F.col("bucket")) % 7, DEVICES).alias("device_type"),
         _null_every(101, F.col("country")).alias("country"),

@@ -27,7 +27,7 @@ def stored(spark, tmp_path_factory):
     )
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry.own_queries())
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(registry.queries()[name](spark, SF_DIR))
     for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop", "Window"):

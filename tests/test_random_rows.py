@@ -51,9 +51,11 @@ def random_rows(seed, n_events=3000, n_users=40):
         elif i % 3 == 1:
             session = "hot"
         ts = datetime(2024, 6, 1) + timedelta(microseconds=rng.randrange(5 * 86400 * 10**6))
+        # One user has no session id at all, and so null rates.
+        sessions = [None] if user == "u0" else [session] * 9 + [None]
         return (
             rng.choice([f"e{i}", f"e{i}", f"e{i}", "same", None]),
-            rng.choice([session] * 9 + [None]),
+            rng.choice(sessions),
             rng.choice([user] * 9 + [None]),
             dirty(rng, rng.choice(EVENT_TYPES + ("login_success", "login_attempt", "odd"))),
             rng.choice(DEVICES),
@@ -66,7 +68,7 @@ def random_rows(seed, n_events=3000, n_users=40):
 
     def user(i):
         return (
-            rng.choice([f"u{i}"] * 9 + [None, "hot", "u1"]) if i else "hot",
+            rng.choice([f"u{i}"] * 9 + [None, "hot", "u1"]) if i > 1 else ["u0", "hot"][i],
             datetime(2023, rng.randrange(1, 13), rng.randrange(1, 28), 5),
             rng.choice(COUNTRIES),
             rng.choice(PLANS),
@@ -106,11 +108,16 @@ def test_model(case, name):
     assert_same(getattr(models, name), rows)
 
 
+def test_a_user_has_null_rates(case):
+    scores = case[0].user_friction_scores
+    assert scores.filter("failure_rate IS NULL AND friction_segment = 'low_friction'").count() > 0
+
+
 @pytest.mark.parametrize("name", pipeline.REPORTS)
 def test_report(case, name):
     models, connection = case
     mart, report = pipeline.REPORTS[name]
-    assert_same(report(getattr(models, mart)), expected(connection, name))
+    assert_same(report(getattr(models, mart)), expected(connection, name), ordered=True)
 
 
 def test_marts_from_the_rollup(case):
