@@ -60,13 +60,12 @@ class BytePairs:
             a, b = raw(left), raw(right)
             self.merges[self.ids[a] << 32 | self.ids[b]] = (rank, self.ids[a + b])
         self._adjacent: dict[int, bool] = {}
-        self._own: dict[int, bool] = {}
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one word of the pattern."""
         if len(word) <= _SHORT:
             return self._merge(word)
-        last = self.last_tokens(word)
+        last, _ = self.prefixes(word)
         ids, end = [], len(word)
         while end:
             ids.append(last[end])
@@ -88,42 +87,34 @@ class BytePairs:
             ids[at : at + 2] = [best[1]]
         return ids
 
-    def last_tokens(self, word: bytes) -> list[int]:
-        """For every prefix of the word, the last token of that prefix's own encoding.
+    def prefixes(self, word: bytes) -> tuple[list[int], list[int]]:
+        """For every prefix of the word, the last token and the length of that prefix's encoding.
 
         A prefix's encoding is the one sequence of tokens in which every two neighbours stay apart
         when they are encoded together.  So the last token is the one that ends at the prefix's end
         and stays apart from the last token of what is before it.
         """
-        last = [-1] * (len(word) + 1)
-        get = self.ids.get
+        last, counts = [-1], [0]
+        token_of, adjacent, longest = self.ids.get, self._adjacent.get, self.longest
         for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = get(word[start:end])
-                if token is not None and self._fits(last[start], token):
-                    last[end] = token
-                    break
-        return last
+            for start in range(end - longest if end > longest else 0, end):
+                token = token_of(word[start:end])
+                if token is not None:
+                    before = last[start]
+                    fits = adjacent((before << 32) + token)
+                    if fits is None:
+                        fits = self._fits(before, token)
+                    if fits:
+                        last.append(token)
+                        counts.append(counts[start] + 1)
+                        break
+        return last, counts
 
     def _fits(self, before: int, token: int) -> bool:
-        if before < 0:
-            found = self._own.get(token)
-            if found is None:
-                found = self._own[token] = self._merge(self.pieces[token]) == [token]
-            return found
-        pair = before << 32 | token
-        found = self._adjacent.get(pair)
-        if found is None:
-            if len(self._adjacent) >= _KEPT_PAIRS:
-                self._adjacent.clear()
-            both = self.pieces[before] + self.pieces[token]
-            found = self._adjacent[pair] = self._merge(both) == [before, token]
+        """Whether the tokens (the second alone after -1) stay as they are when encoded together."""
+        if len(self._adjacent) >= _KEPT_PAIRS:
+            self._adjacent.clear()
+        own = [token] if before < 0 else [before, token]
+        found = self._merge(b"".join(self.pieces[t] for t in own)) == own
+        self._adjacent[(before << 32) + token] = found
         return found
-
-    def prefix_counts(self, word: bytes) -> list[int]:
-        """The token count of every prefix of the word, the empty one first."""
-        last = self.last_tokens(word)
-        counts = [0] * len(last)
-        for end in range(1, len(last)):
-            counts[end] = counts[end - len(self.pieces[last[end]])] + 1
-        return counts

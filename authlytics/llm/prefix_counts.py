@@ -10,7 +10,9 @@ running sum, without encoding again.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from authlytics.llm.byte_pairs import PATTERN, WHITE, BytePairs
-from authlytics.llm.common import row_key, ship
+from authlytics.llm.common import row_key, ship, worker_cache
 
 _WORDS = regex.compile(PATTERN)
 _WHITE = regex.compile(f"[{WHITE}]")
@@ -45,13 +47,12 @@ class _Steps(dict):
         return steps
 
     def _steps(self, word: str) -> bytes:
-        counts = self.pairs.prefix_counts(word.encode())
+        _, counts = self.pairs.prefixes(word.encode())
         if not word.isascii():
-            at = np.cumsum([0, *(len(c.encode()) for c in word)])
-            counts = [counts[i] for i in at]
+            counts = [counts[i] for i in accumulate((len(c.encode()) for c in word), initial=0)]
         if word in _CUT_CONTRACTIONS:
             counts[2] = self.count(word[0]) + self.count(word[1])
-        return np.diff(np.array(counts)).astype(np.int8).tobytes()
+        return bytes([(after - before) & 255 for before, after in pairwise(counts)])
 
     def count(self, word: str) -> int:
         return len(self.pairs.encode(word.encode()))
@@ -108,19 +109,6 @@ def chars_within(steps: np.ndarray, budget: int) -> int:
     return int(fits[-1]) + 1 if len(fits) else 0
 
 
-class _Loaded:
-    """The counter that a worker has made last."""
-
-    text: str | None = None
-    counter: PrefixCounter | None = None
-
-    @classmethod
-    def get(cls, text: str) -> PrefixCounter:
-        if cls.text != text:
-            cls.text, cls.counter = text, PrefixCounter(text)
-        return cls.counter
-
-
 _ROW = """doc_id long, key struct<doc_id: long, text: long>, n_bytes long, n_tokens long,
     chars_within long, steps binary"""
 
@@ -140,7 +128,9 @@ def prefix_counts(docs: DataFrame, vocabulary: str, budget: int = 512) -> DataFr
     sent = spark.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Loaded.get(sent.value)
+        vocabulary = sent.value
+        name = ("prefix counts", zlib.crc32(vocabulary.encode()))
+        counter = worker_cache(name, lambda: PrefixCounter(vocabulary))
         for batch in batches:
             steps = [counter.of(text.as_py()) for text in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
