@@ -16,39 +16,6 @@ AUTH_FAILURE_TYPES = (
 )
 
 
-# -- text ---------------------------------------------------------------------------
-
-
-def lowered(text: Column) -> Column:
-    return F.lower(F.trim(text))
-
-
-def uppered(text: Column) -> Column:
-    return F.upper(F.trim(text))
-
-
-def device_category(device_type: Column) -> Column:
-    """Coarse device class of the raw text: lower-cased, but not trimmed."""
-    device = F.lower(device_type)
-    return (
-        F.when(device.startswith("mobile"), "mobile")
-        .when(device.startswith("desktop"), "desktop")
-        .when(device == "web_browser", "web")
-        .when(device == "smart_tv", "smart_tv")
-        .otherwise("unknown")
-    )
-
-
-def subscription_tier(subscription_type: Column) -> Column:
-    """Tier of the raw text: lower-cased, but not trimmed."""
-    plan = F.lower(subscription_type)
-    return (
-        F.when(plan == "free", "free")
-        .when(plan.startswith("premium"), "premium")
-        .otherwise("unknown")
-    )
-
-
 # -- time ---------------------------------------------------------------------------
 
 
@@ -56,14 +23,6 @@ def day_of(ts: Column) -> Column:
     return ts.cast("date").cast("timestamp_ntz")
 
 
-def hour_of(ts: Column) -> Column:
-    return day_of(ts) + F.make_dt_interval(F.lit(0), F.hour(ts))
-
-
-def month_of(ts: Column) -> Column:
-    return F.trunc(ts.cast("date"), "month").cast("timestamp_ntz")
-
-
 def _second_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 

@@ -131,8 +131,8 @@ def user_friction_scores(history: DataFrame, users: DataFrame) -> DataFrame:
     """Friction score and segment of every known user with a session.
 
     Users are the streamed side: should one user id be repeated in the user table, a merge
-    join buffers only the single history row of that id.  Histories read from a table also
-    let adaptive execution split such an id over many tasks.
+    join buffers only the single history row of that id.  Histories that are read from a table or
+    dealt out anew let adaptive execution split such an id over many tasks.
     """
     profile = users.select(
         "user_id", "subscription_tier", "mfa_enabled", "email_verified", "cohort_month"

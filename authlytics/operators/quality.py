@@ -73,13 +73,13 @@ def low_conversion(
     )
 
 
+def _verdicts() -> dict[str, Column]:
+    return {"should_warn": F.col("failures") != 0, "should_error": F.col("failures") != 0}
+
+
 def summary(failing_rows: DataFrame) -> DataFrame:
     """One row: the number of failing rows, and whether they should warn or fail."""
-    return failing_rows.agg(F.count("*").alias("failures")).select(
-        "failures",
-        (F.col("failures") != 0).alias("should_warn"),
-        (F.col("failures") != 0).alias("should_error"),
-    )
+    return failing_rows.agg(F.count("*").alias("failures")).withColumns(_verdicts())
 
 
 # -- many checks at once ------------------------------------------------------------
@@ -141,53 +141,31 @@ def _count_rows_and_values(
     return _one_row_per_check(relation.agg(*second), checks)
 
 
-def _count_repeated(
-    relation: DataFrame, column: str, checks: list[Check], kept: dict[str, tuple[str, Column]]
-) -> DataFrame:
-    """`unique` checks on one key column: one shuffle of the key for all of them."""
-    counts, repeated = [], []
-    for i, check in enumerate(checks):
-        keeps = kept[check.relation][1] if check.relation in kept else F.lit(True)
-        counts.append(c.count_where(keeps).alias(str(i)))
-        repeated.append(F.coalesce(c.count_where(F.col(str(i)) > 1), F.lit(0)).alias(str(i)))
-    per_key = relation.filter(F.col(column).isNotNull()).groupBy(column).agg(*counts)
-    return _one_row_per_check(per_key.agg(*repeated), checks)
+def _count_repeated(relation: DataFrame, check: Check) -> DataFrame:
+    repeated = unique(relation, check.column)
+    return _one_row_per_check(repeated.agg(F.count("*").alias("0")), [check])
 
 
 def check_all(
-    relations: dict[str, DataFrame],
-    checks: list[Check],
-    as_of: datetime | None = None,
-    kept: dict[str, tuple[str, Column]] | None = None,
+    relations: dict[str, DataFrame], checks: list[Check], as_of: datetime | None = None
 ) -> DataFrame:
-    """Failures of every check, one row each, with few scans.
+    """Failures of every check, one row each.
 
-    Row checks and accepted values take one scan per relation.  `kept` says which relation
-    is another one reduced to the rows that meet a condition, key columns unchanged: a key
-    that both declare unique is then shuffled once.
+    Every check reads the relation it names: row checks and accepted values in one scan per
+    relation, unique keys in one shuffle of the key each.
     """
-    kept = kept or {}
     day = None if as_of is None else as_of.date()
     row_checks: dict[str, list[Check]] = {}
-    key_checks: dict[tuple[str, str], list[Check]] = {}
     counted = []
     for check in checks:
         if check.kind == "low_conversion":
             days = low_conversion(relations[check.relation], day)
             counted.append(_one_row_per_check(days.agg(F.count("*").alias("0")), [check]))
         elif check.kind == "unique":
-            base = kept[check.relation][0] if check.relation in kept else check.relation
-            key_checks.setdefault((base, check.column), []).append(check)
+            counted.append(_count_repeated(relations[check.relation], check))
         else:
             row_checks.setdefault(check.relation, []).append(check)
     for name, mine in row_checks.items():
         counted.append(_count_rows_and_values(relations[name], mine, as_of))
-    for (base, column), mine in key_checks.items():
-        counted.append(_count_repeated(relations[base], column, mine, kept))
-    return (
-        reduce(DataFrame.unionByName, counted)
-        .withColumns(
-            {"should_warn": F.col("failures") != 0, "should_error": F.col("failures") != 0}
-        )
-        .select(*DQ_SUMMARY.names)
-    )
+    failures = reduce(DataFrame.unionByName, counted)
+    return failures.withColumns(_verdicts()).select(*DQ_SUMMARY.names)

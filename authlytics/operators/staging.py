@@ -1,61 +1,64 @@
-"""Staging: drop unusable raw rows, normalise text, derive flags and truncated times."""
+"""Staging: drop unusable raw rows, normalise text, derive flags and truncated times.
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+The models are SQL text, so that the same statement is a lazy DataFrame here and a view in a
+database (`plans.pipeline`).  Within a SELECT, names mean the raw columns: the flags and the device
+class see the raw text, not the normalised column of the same name.  Times are cast without a zone,
+so nothing goes through the session time zone.
+"""
 
-from authlytics.functions import columns as c
+from pyspark.sql import DataFrame
 
+from authlytics.functions.columns import AUTH_FAILURE_TYPES
 
-def usable_event() -> Column:
-    return (
-        F.col("event_id").isNotNull() & F.col("user_id").isNotNull() & F.col("event_ts").isNotNull()
-    )
+_FAILURES = ", ".join(f"'{kind}'" for kind in AUTH_FAILURE_TYPES)
+_DAY = "CAST(CAST(event_ts AS DATE) AS TIMESTAMP_NTZ)"
 
+# One row per raw event that has an event id, a user id and a timestamp.
+STG_AUTH_EVENTS = f"""
+SELECT event_id,
+       session_id,
+       user_id,
+       lower(trim(event_type)) AS event_type,
+       lower(trim(device_type)) AS device_type,
+       CASE WHEN lower(device_type) LIKE 'mobile%' THEN 'mobile'
+            WHEN lower(device_type) LIKE 'desktop%' THEN 'desktop'
+            WHEN lower(device_type) = 'web_browser' THEN 'web'
+            WHEN lower(device_type) = 'smart_tv' THEN 'smart_tv'
+            ELSE 'unknown' END AS device_category,
+       upper(trim(country)) AS country_code,
+       lower(trim(subscription_type)) AS subscription_type,
+       mfa_enabled,
+       error_code,
+       CAST(event_ts AS TIMESTAMP_NTZ) AS event_ts,
+       {_DAY} AS event_date,
+       {_DAY} + make_dt_interval(0, hour(event_ts)) AS event_hour,
+       error_code IS NOT NULL AS is_error_event,
+       event_type IN ({_FAILURES}) AS is_auth_failure,
+       event_type = 'login_success' AS is_successful_login,
+       event_type = 'login_attempt' AS is_login_attempt
+FROM {{raw_auth_events}}
+WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_ts IS NOT NULL"""
 
-def usable_user() -> Column:
-    return F.col("user_id").isNotNull()
+# One row per raw user that has an id.
+STG_USERS = """
+SELECT user_id,
+       CAST(created_at AS TIMESTAMP_NTZ) AS created_at,
+       upper(trim(country)) AS country_code,
+       lower(trim(subscription_type)) AS subscription_type,
+       age_group,
+       email_verified,
+       mfa_enabled,
+       CASE WHEN lower(subscription_type) = 'free' THEN 'free'
+            WHEN lower(subscription_type) LIKE 'premium%' THEN 'premium'
+            ELSE 'unknown' END AS subscription_tier,
+       CAST(trunc(CAST(created_at AS DATE), 'month') AS TIMESTAMP_NTZ) AS cohort_month
+FROM {raw_users}
+WHERE user_id IS NOT NULL"""
 
 
 def stg_auth_events(raw_auth_events: DataFrame) -> DataFrame:
-    """One row per raw event that has an event id, a user id and a timestamp.
-
-    One `select` on purpose: the flags and the device class must see the raw text, not
-    the normalised column of the same name.
-    """
-    event_type = F.col("event_type")
-    event_ts = F.col("event_ts").cast("timestamp_ntz")
-    return raw_auth_events.filter(usable_event()).select(
-        "event_id",
-        "session_id",
-        "user_id",
-        c.lowered(event_type).alias("event_type"),
-        c.lowered(F.col("device_type")).alias("device_type"),
-        c.device_category(F.col("device_type")).alias("device_category"),
-        c.uppered(F.col("country")).alias("country_code"),
-        c.lowered(F.col("subscription_type")).alias("subscription_type"),
-        "mfa_enabled",
-        "error_code",
-        event_ts.alias("event_ts"),
-        c.day_of(event_ts).alias("event_date"),
-        c.hour_of(event_ts).alias("event_hour"),
-        F.col("error_code").isNotNull().alias("is_error_event"),
-        event_type.isin(*c.AUTH_FAILURE_TYPES).alias("is_auth_failure"),
-        (event_type == "login_success").alias("is_successful_login"),
-        (event_type == "login_attempt").alias("is_login_attempt"),
-    )
+    return raw_auth_events.sparkSession.sql(STG_AUTH_EVENTS, raw_auth_events=raw_auth_events)
 
 
 def stg_users(raw_users: DataFrame) -> DataFrame:
-    """One row per raw user that has an id."""
-    created_at = F.col("created_at").cast("timestamp_ntz")
-    return raw_users.filter(usable_user()).select(
-        "user_id",
-        created_at.alias("created_at"),
-        c.uppered(F.col("country")).alias("country_code"),
-        c.lowered(F.col("subscription_type")).alias("subscription_type"),
-        "age_group",
-        "email_verified",
-        "mfa_enabled",
-        c.subscription_tier(F.col("subscription_type")).alias("subscription_tier"),
-        c.month_of(created_at).alias("cohort_month"),
-    )
+    return raw_users.sparkSession.sql(STG_USERS, raw_users=raw_users)

@@ -57,4 +57,7 @@ class Models:
 
     @cached_property
     def user_friction_scores(self) -> DataFrame:
-        return marts.user_friction_scores(self.user_session_history, self.stg_users)
+        # Dealt out anew, so that both sides of the join are plain shuffles, in which adaptive
+        # execution can split a user id that the user table repeats.
+        history = self.user_session_history.hint("rebalance")
+        return marts.user_friction_scores(history, self.stg_users)

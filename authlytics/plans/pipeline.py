@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from authlytics.operators import marts, quality, reports, staging
 from authlytics.plans.checks import DECLARED_CHECKS
 from authlytics.plans.rollup import GRAIN, auth_rollup, rollup_funnel, rollup_sessions
-from authlytics.plans.storage import WorkingTables, publish_table, publish_view
+from authlytics.plans.storage import WorkingTables, publish, publish_view
 
 REPORTS = {
     "rpt_overall_health": ("fct_daily_auth_metrics", reports.overall_health),
@@ -36,6 +36,8 @@ def _scores(working: WorkingTables, rollup: DataFrame, users: DataFrame) -> Data
     return marts.user_friction_scores(working.write(history, "user_session_history"), users)
 
 
+RAW = ("raw_users", "raw_auth_events")
+STAGING = ("stg_users", "stg_auth_events")
 MARTS = {"fct_daily_auth_metrics": _fct, "user_friction_scores": _scores}
 
 
@@ -66,12 +68,8 @@ def build_relations(
 
 
 def run_checks(relations: dict[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
-    """The declared checks over built relations, one row per check."""
-    kept = {
-        "stg_auth_events": ("raw_auth_events", staging.usable_event()),
-        "stg_users": ("raw_users", staging.usable_user()),
-    }
-    return quality.check_all(relations, DECLARED_CHECKS, as_of, kept)
+    """The declared checks over relations by name, one row per check."""
+    return quality.check_all(relations, DECLARED_CHECKS, as_of)
 
 
 def run_report(name: str, relations: dict[str, DataFrame]) -> DataFrame:
@@ -79,16 +77,30 @@ def run_report(name: str, relations: dict[str, DataFrame]) -> DataFrame:
     return report(relations[mart])
 
 
-def build_all(
-    spark: SparkSession, raw_users: DataFrame, raw_auth_events: DataFrame, database: str
-) -> dict[str, DataFrame]:
-    """Publish staging views and mart tables and return every relation by name."""
-    relations = build_relations(
+def build_all(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """Build a database from its raw tables: staging views, then both marts together.
+
+    Returns every relation as it is read from the database.
+    """
+    raw_users, raw_auth_events = (spark.table(f"{database}.{name}") for name in RAW)
+    publish_view(
+        spark, database, "stg_users", staging.STG_USERS.format(raw_users=f"{database}.raw_users")
+    )
+    publish_view(
         spark,
-        raw_users,
-        raw_auth_events,
-        lambda mart, name: publish_table(mart, f"{database}.{name}"),
+        database,
+        "stg_auth_events",
+        staging.STG_AUTH_EVENTS.format(raw_auth_events=f"{database}.raw_auth_events"),
     )
-    for name in ("stg_users", "stg_auth_events"):
-        publish_view(relations[name], name)
-    return relations
+    working = WorkingTables(spark)
+    try:
+        relations = build_relations(spark, raw_users, raw_auth_events, working.write)
+        publish(spark, database, "marts", {name: relations[name] for name in MARTS})
+    finally:
+        working.drop()
+    return open_relations(spark, database)
+
+
+def open_relations(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """What a database holds after a build, in any session: for `run_checks` and `run_report`."""
+    return {name: spark.table(f"{database}.{name}") for name in (*RAW, *STAGING, *MARTS)}

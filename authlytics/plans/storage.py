@@ -3,6 +3,7 @@
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from authlytics.sources.raw import conform
@@ -49,26 +50,41 @@ class WorkingTables:
         return self._path(self.folder).getFileSystem(settings)
 
 
-def load_raw(rows: DataFrame, schema: StructType, table: str) -> None:
-    """Replace a raw table by the rows, cast to its declared schema."""
-    conform(rows, schema).write.mode("overwrite").saveAsTable(table)
+def publish(spark: SparkSession, database: str, group: str, tables: dict[str, DataFrame]) -> None:
+    """Replace the tables of a group in a database, all of them at once.
 
-
-def publish_table(rows: DataFrame, table: str) -> DataFrame:
-    """Full refresh: build under another name, then take the place of the old table.
-
-    A failed build leaves the published table as it was; the old one is dropped last.
+    Every table keeps its builds as partitions, and a view of its name shows the build that the
+    group's `current` view names.  That one view is replaced in one statement after all tables are
+    written, so readers see a complete old build or a complete new one, however the run ends.
+    Builds that nothing names any more are dropped last, and by the next run where this one stopped.
+    One run at a time may publish a group.
     """
-    spark, building, replaced = rows.sparkSession, f"{table}__building", f"{table}__replaced"
-    spark.sql(f"DROP TABLE IF EXISTS {building}")
-    rows.write.saveAsTable(building)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"DROP TABLE IF EXISTS {replaced}")
-        spark.sql(f"ALTER TABLE {table} RENAME TO {replaced}")
-    spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {replaced}")
-    return spark.table(table)
-
-
-def publish_view(rows: DataFrame, name: str) -> None:
-    rows.createOrReplaceTempView(name)
+    build, current = uuid.uuid4().hex, f"{database}.{group}__current"
+    for name, rows in tables.items():
+        rows.withColumn("build", F.lit(build)).write.mode("append").partitionBy(
+            "build"
+        ).saveAsTable(f"{database}.{name}__builds")
+    spark.sql(f"CREATE OR REPLACE VIEW {current} AS SELECT '{build}' AS build")
+    for name, rows in tables.items():
+        columns = ", ".join(f"`{c}`" for c in rows.columns)
+        spark.sql(
+            f"CREATE VIEW IF NOT EXISTS {database}.{name} AS SELECT {columns} "
+            f"FROM {database}.{name}__builds WHERE build = (SELECT build FROM {current})"
+        )
+    for name in tables:
+        table = f"{database}.{name}__builds"
+        for (partition,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            if partition != f"build={build}":
+                old = partition.removeprefix("build=")
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (build = '{old}')")
+
+
+def load_raw(rows: DataFrame, schema: StructType, database: str, name: str) -> None:
+    """Replace a raw table by the rows, cast to its declared schema; the old one is read until
+    the new one is whole."""
+    publish(rows.sparkSession, database, name, {name: conform(rows, schema)})
+
+
+def publish_view(spark: SparkSession, database: str, name: str, query: str) -> None:
+    """A view in the database, for every session."""
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {query}")

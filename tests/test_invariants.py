@@ -32,38 +32,38 @@ def value(rows, expression):
 
 def test_expected_counts(m):
     events, sessions = m.stg_auth_events, m.int_user_sessions
-    assert m.raw_users.count() == 1470
+    assert m.raw_users.count() == 1500
     assert events.count() == 9785
     assert events.select("event_type").distinct().count() == 18
     unflagged = (F.col("event_type") == "login_success") & ~F.col("is_successful_login")
     assert events.filter(unflagged).count() == 220
-    assert sessions.count() == 4147
-    assert sessions.select("session_id").distinct().count() == 4065
+    assert sessions.count() == 4228
+    assert sessions.select("session_id").distinct().count() == 4038
     outcomes = {r[0]: r[1] for r in sessions.groupBy("session_outcome").count().collect()}
     assert outcomes == {
-        "clean_success": 592,
+        "clean_success": 593,
         "success_after_retry": 225,
         "password_reset": 437,
-        "mfa_blocked": 567,
-        "failed": 2326,
+        "mfa_blocked": 578,
+        "failed": 2395,
     }
     stages = {r[0]: r[1] for r in m.int_auth_funnel.groupBy("funnel_drop_stage").count().collect()}
     assert stages == {
-        "converted": 193,
-        "dropped_at_mfa": 143,
-        "dropped_bad_password": 192,
-        "dropped_account_locked": 48,
-        "dropped_unknown": 988,
+        "converted": 190,
+        "dropped_at_mfa": 142,
+        "dropped_bad_password": 189,
+        "dropped_account_locked": 47,
+        "dropped_unknown": 997,
     }
     facts = m.fct_daily_auth_metrics
-    assert facts.count() == 2582
-    assert facts.filter(F.col("users_attempted_login").isNull()).count() == 1525
+    assert facts.count() == 2604
+    assert facts.filter(F.col("users_attempted_login").isNull()).count() == 1538
     assert facts.filter(F.col("country_code").isNull()).count() == 83
     segments = m.user_friction_scores.groupBy("friction_segment").count().collect()
     assert {r[0]: r[1] for r in segments} == {
-        "high_friction": 7,
-        "medium_friction": 124,
-        "low_friction": 16,
+        "high_friction": 6,
+        "medium_friction": 126,
+        "low_friction": 18,
     }
 
 

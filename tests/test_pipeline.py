@@ -29,26 +29,37 @@ def same_rows(left, right):
     )
 
 
-def test_build_all_equals_the_lazy_models(spark, database):
-    lazy = Models(
+def load(database, users, events):
+    storage.load_raw(users, schemas.RAW_USERS, database, "raw_users")
+    storage.load_raw(events, schemas.RAW_AUTH_EVENTS, database, "raw_auth_events")
+
+
+@pytest.fixture
+def lazy(spark):
+    return Models(
         lambda: driver_tables.raw_users(spark, SF_DIR),
         lambda: driver_tables.raw_auth_events(spark, SF_DIR),
     )
-    storage.load_raw(lazy.raw_users, schemas.RAW_USERS, f"{database}.raw_users")
-    storage.load_raw(lazy.raw_auth_events, schemas.RAW_AUTH_EVENTS, f"{database}.raw_auth_events")
-    built = pipeline.build_all(
-        spark,
-        spark.table(f"{database}.raw_users"),
-        spark.table(f"{database}.raw_auth_events"),
-        database,
-    )
-    for name in ("fct_daily_auth_metrics", "user_friction_scores"):
-        assert same_rows(spark.table(f"{database}.{name}"), getattr(lazy, name))
+
+
+def test_build_all_equals_the_lazy_models(spark, database, lazy):
+    load(database, lazy.raw_users, lazy.raw_auth_events)
+    built = pipeline.build_all(spark, database)
+    for name in (*pipeline.RAW, *pipeline.STAGING, *pipeline.MARTS):
         assert same_rows(built[name], getattr(lazy, name))
-    for name in ("stg_users", "stg_auth_events"):
-        assert same_rows(spark.table(name), getattr(lazy, name))
+
+
+def test_another_session_reports_and_checks_what_was_built(spark, database, lazy):
+    load(database, lazy.raw_users, lazy.raw_auth_events)
+    pipeline.build_all(spark, database)
+    other = spark.newSession()
+    relations = pipeline.open_relations(other, database)
+    assert same_rows(relations["stg_users"], lazy.stg_users)
     for name in pipeline.REPORTS:
-        assert pipeline.run_report(name, built).collect()
+        mart, report = pipeline.REPORTS[name]
+        found = pipeline.run_report(name, relations).collect()
+        assert found == report(getattr(lazy, mart)).collect()
+    assert len(pipeline.run_checks(relations).collect()) == 24
 
 
 def test_build_on_dirty_rows_equals_the_lazy_models(spark, database):
@@ -66,42 +77,106 @@ def test_build_on_dirty_rows_equals_the_lazy_models(spark, database):
         ],
         [{}, {"user_id": "u2", "email_verified": None}],
     )
-    built = pipeline.build_all(spark, lazy.raw_users, lazy.raw_auth_events, database)
-    assert same_rows(built["fct_daily_auth_metrics"], lazy.fct_daily_auth_metrics)
-    assert same_rows(built["user_friction_scores"], lazy.user_friction_scores)
+    load(database, lazy.raw_users, lazy.raw_auth_events)
+    built = pipeline.build_all(spark, database)
+    for name in pipeline.MARTS:
+        assert same_rows(built[name], getattr(lazy, name))
+
+
+def build(spark, database, user):
+    m = models(spark, [{"user_id": user}], [{"user_id": user}])
+    load(database, m.raw_users, m.raw_auth_events)
+    return pipeline.build_all(spark, database)
+
+
+def users_of(spark, database):
+    return [r["user_id"] for r in dicts(spark.table(f"{database}.user_friction_scores"))]
 
 
 def test_rebuild_replaces_the_tables(spark, database):
     for user in ("u1", "u2"):
-        m = models(spark, [{"user_id": user}], [{"user_id": user}])
-        pipeline.build_all(spark, m.raw_users, m.raw_auth_events, database)
-        table = spark.table(f"{database}.user_friction_scores")
-        assert [r["user_id"] for r in dicts(table)] == [user]
-    tables = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
-    assert tables == {"fct_daily_auth_metrics", "user_friction_scores"}
-
-
-def test_failed_build_keeps_the_published_table(spark, database):
-    table = f"{database}.scores"
-    storage.publish_table(users(spark, {}), table)
-    broken = users(spark, {"age_group": "not a number"}).selectExpr("cast(age_group AS int) AS n")
+        build(spark, database, user)
+        assert users_of(spark, database) == [user]
+        for table in pipeline.MARTS:
+            builds = spark.sql(f"SHOW PARTITIONS {database}.{table}__builds").collect()
+            assert len(builds) == 1
+
+
+def test_two_databases_do_not_disturb_each_other(spark, database):
+    other = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {other}")
+    try:
+        build(spark, database, "u1")
+        build(spark, other, "u2")
+        assert users_of(spark, database) == ["u1"] and users_of(spark, other) == ["u2"]
+        assert [r["user_id"] for r in dicts(spark.table(f"{database}.stg_users"))] == ["u1"]
+    finally:
+        spark.sql(f"DROP DATABASE {other} CASCADE")
+
+
+class Stopped(Exception):
+    pass
+
+
+def marts(spark, user):
+    m = models(spark, [{"user_id": user}], [{"user_id": user}])
+    return {name: getattr(m, name) for name in pipeline.MARTS}
+
+
+@pytest.mark.parametrize("step", range(10))
+def test_a_build_stopped_anywhere_leaves_a_whole_pair(spark, database, monkeypatch, step):
+    """Stop the second build before its step-th statement or write, then build again."""
+    storage.publish(spark, database, "marts", marts(spark, "u1"))
+    second, left = marts(spark, "u2"), [step]
+
+    def stops(method):
+        def call(self, *args, **kwargs):
+            if left[0] == 0:
+                raise Stopped
+            left[0] -= 1
+            return method(self, *args, **kwargs)
+
+        return call
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", stops(type(spark).sql))
+        writer = type(second["user_friction_scores"].write)
+        patch.setattr(writer, "saveAsTable", stops(writer.saveAsTable))
+        try:
+            storage.publish(spark, database, "marts", second)
+        except Stopped:
+            pass
+    days = {name: len(dicts(spark.table(f"{database}.{name}"))) for name in pipeline.MARTS}
+    assert days == {"fct_daily_auth_metrics": 1, "user_friction_scores": 1}
+    assert users_of(spark, database) == (["u1"] if step < 3 else ["u2"])
+    storage.publish(spark, database, "marts", marts(spark, "u3"))
+    assert users_of(spark, database) == ["u3"]
+    for name in pipeline.MARTS:
+        assert len(spark.sql(f"SHOW PARTITIONS {database}.{name}__builds").collect()) == 1
+
+
+def test_failed_load_keeps_the_raw_table(spark, database):
+    storage.load_raw(users(spark, {}), schemas.RAW_USERS, database, "raw_users")
+    broken = users(spark, {}).drop("created_at").selectExpr("*", "'yesterday' AS created_at")
     with pytest.raises(Exception):
-        storage.publish_table(broken, table)
-    assert len(dicts(spark.table(table))) == 1
+        storage.load_raw(broken, schemas.RAW_USERS, database, "raw_users")
+    assert len(dicts(spark.table(f"{database}.raw_users"))) == 1
 
 
 def test_load_raw_coerces_text_and_replaces(spark, database, tmp_path):
     path = str(tmp_path / "landed.json")
     with open(path, "w") as out:
         out.write(json.dumps(EVENT | {"event_id": "e1", "event_ts": "2024-06-01T10:00:00"}))
-    table = f"{database}.raw_auth_events"
-    storage.load_raw(events(spark, {}, {}), schemas.RAW_AUTH_EVENTS, table)
+    load_events = lambda rows: storage.load_raw(
+        rows, schemas.RAW_AUTH_EVENTS, database, "raw_auth_events"
+    )
+    load_events(events(spark, {}, {}))
     landed = ", ".join(
         f"{f.name} {'boolean' if f.name == 'mfa_enabled' else 'string'}"
         for f in schemas.RAW_AUTH_EVENTS
     )
-    storage.load_raw(spark.read.schema(landed).json(path), schemas.RAW_AUTH_EVENTS, table)
-    (row,) = dicts(spark.table(table))
+    load_events(spark.read.schema(landed).json(path))
+    (row,) = dicts(spark.table(f"{database}.raw_auth_events"))
     assert str(row["event_ts"]) == "2024-06-01 10:00:00" and row["error_code"] is None
 
 

@@ -44,6 +44,21 @@ def test_marts_group_sessions_with_a_hash_aggregate(stored):
     assert "SortAggregate" not in plan(stored.fct_daily_auth_metrics)
 
 
+def test_scores_join_plain_shuffles(spark, stored):
+    """Both sides, so that adaptive execution can split a user id that the user table repeats."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lines = plan(stored.user_friction_scores).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    depth = lines[join].index("SortMergeJoin")
+    sides = [i for i, line in enumerate(lines) if i > join and line[: depth + 4].endswith("- Sort") or line[depth : depth + 3] in ("+- ", ":- ")]
+    below = [lines[i + 1] for i in sides if "Sort" in lines[i]]
+    assert len(below) == 2 and all("Exchange hashpartitioning" in line for line in below)
+
+
 def test_fact_join_adds_no_shuffle(stored):
     # Sessions: one for their keys and two for the distinct counts.  Funnel: the same.
     assert plan(stored.fct_daily_auth_metrics).count("Exchange hashpartitioning") == 6

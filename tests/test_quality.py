@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
-from authlytics.operators import quality, staging
+from authlytics.operators import quality
 from authlytics.operators.quality import Check
 from authlytics.plans.checks import DECLARED_CHECKS
 from fixtures import dicts, events, models, only, users
@@ -103,15 +103,8 @@ def dirty_relations(spark):
     return {name: getattr(m, name) for name in names}
 
 
-@pytest.mark.parametrize("share_keys", [True, False])
-def test_counted_together_as_one_by_one(spark, dirty_relations, share_keys):
-    kept = {
-        "stg_auth_events": ("raw_auth_events", staging.usable_event()),
-        "stg_users": ("raw_users", staging.usable_user()),
-    }
-    together = quality.check_all(
-        dirty_relations, DECLARED_CHECKS, AS_OF, kept if share_keys else None
-    )
+def test_counted_together_as_one_by_one(spark, dirty_relations):
+    together = quality.check_all(dirty_relations, DECLARED_CHECKS, AS_OF)
     found = {r["check_name"]: r["failures"] for r in dicts(together)}
     assert found == one_by_one(dirty_relations, DECLARED_CHECKS)
     assert len(found) == 24
@@ -133,6 +126,23 @@ def test_counted_together_as_one_by_one(spark, dirty_relations, share_keys):
     }
 
 
+def test_every_check_reads_the_relation_it_names(spark, dirty_relations):
+    """Rows that only a staged relation has twice are found there and nowhere else."""
+    clean = models(spark, [{}, {"user_id": "u2"}], [{}, {"user_id": "u2"}])
+    relations = {name: getattr(clean, name) for name in dirty_relations}
+    for name in ("stg_auth_events", "stg_users"):
+        relations[name] = relations[name].union(relations[name])
+    found = quality.check_all(relations, DECLARED_CHECKS, AS_OF)
+    failing = {r["check_name"]: r["failures"] for r in dicts(found) if r["check_name"].endswith("unique")}
+    assert failing == {
+        "raw_auth_events.event_id.unique": 0,
+        "raw_users.user_id.unique": 0,
+        "stg_auth_events.event_id.unique": 2,
+        "stg_users.user_id.unique": 2,
+        "user_friction_scores.user_id.unique": 0,
+    }
+
+
 def test_empty_relations_pass(spark):
     checks = [Check("raw_users", "user_id", "not_null"), Check("raw_users", "user_id", "unique")]
     found = quality.check_all({"raw_users": users(spark)}, checks)
