@@ -29,7 +29,7 @@ from authlytics.llm.common import Work, bitmap, in_bitmap, mix, row_key, utf8
 
 LEAST = 400
 Q = 64
-CELL_BYTES = 2 << 20
+CELL_BYTES = 1 << 20
 _PIECE = 1 << 20  # windows of a document that are hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _KEY = "struct<doc_id: long, text: long>"
@@ -65,27 +65,34 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def contexts(text: bytes, least: int) -> Iterator[tuple[int, int, int]]:
+def contexts(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first window, number of windows) of each run of windows with one anchor."""
-    whole = np.frombuffer(text, dtype=np.uint8)
+    found = []
     for start in range(0, max(0, len(text) - least + 1), _PIECE):
-        piece = whole[start : start + _PIECE + least - 1]
-        hashes = _gram_hashes(piece)
+        hashes = _gram_hashes(text[start : start + _PIECE + least - 1])
         # The smallest hash, by its high bits, and of equal ones the leftmost.
         place = np.arange(len(hashes), dtype=np.uint64)
         packed = (hashes & ~np.uint64(0x1FFFFF)) | place
         anchors = (_sliding_least(packed, least - Q + 1) & np.uint64(0x1FFFFF)).astype(np.int64)
         firsts = np.flatnonzero(np.diff(anchors, prepend=-1))
         counts = np.diff(firsts, append=len(anchors))
-        for hashed, first, count in zip(hashes[anchors[firsts]].view(np.int64), firsts, counts):
-            yield int(hashed), start + int(first), int(count)
+        found.append((hashes[anchors[firsts]].view(np.int64), start + firsts, counts))
+    if not found:
+        return tuple(np.zeros((3, 0), dtype=np.int64))
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _bytes(text: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(text.as_buffer(), dtype=np.uint8)
 
 
 def _anchor_rows(least: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [h for text in batch.column(0) for h, _, _ in contexts(text.as_py(), least)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["hash"])
+            found = [contexts(_bytes(text), least)[0] for text in batch.column(0)]
+            if found:
+                hashes = pa.array(np.concatenate(found), pa.int64())
+                yield pa.RecordBatch.from_arrays([hashes], names=["hash"])
 
     return rows
 
@@ -99,30 +106,28 @@ def _context_rows(least: int, repeated: np.ndarray):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, starts, counts, places = [], [], [], []
-            for place, text in enumerate(batch.column(2)):
-                for hashed, start, count in contexts(text.as_py(), least):
-                    hashes.append(hashed)
-                    starts.append(start)
-                    counts.append(count)
-                    places.append(place)
-            keep = np.flatnonzero(in_bitmap(repeated, np.array(hashes, dtype=np.int64)))
+            found = [contexts(_bytes(text), least) for text in batch.column(2)]
+            if not found:
+                continue
+            places = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            hashes, starts, counts = (np.concatenate(column) for column in zip(*found))
+            keep = np.flatnonzero(in_bitmap(repeated, hashes))
             for part in np.array_split(keep, len(keep) // 4096 + 1):
                 strings, ids = [], []
-                for i in part:
-                    text = batch.column(2)[places[i]].as_buffer()
-                    string = text[starts[i] : starts[i] + counts[i] + least - 1].to_pybytes()
+                for i in part.tolist():
+                    text = _bytes(batch.column(2)[int(places[i])])
+                    string = text[starts[i] : starts[i] + counts[i] + least - 1].tobytes()
                     strings.append(string)
-                    head = hashes[i].to_bytes(8, "little", signed=True)
+                    head = int(hashes[i]).to_bytes(8, "little", signed=True)
                     ids.append(hashlib.blake2b(head + string, digest_size=16).digest())
-                at = pa.array([places[i] for i in part], pa.int32())
+                at = pa.array(places[part], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(at),
                         batch.column(1).take(at),
-                        pa.array([starts[i] for i in part], pa.int32()),
-                        pa.array([counts[i] for i in part], pa.int32()),
-                        pa.array([hashes[i] for i in part], pa.int64()),
+                        pa.array(starts[part], pa.int32()),
+                        pa.array(counts[part], pa.int32()),
+                        pa.array(hashes[part], pa.int64()),
                         pa.array(ids, pa.binary()),
                         pa.array(strings, pa.binary()),
                     ],
@@ -135,34 +140,51 @@ def _context_rows(least: int, repeated: np.ndarray):
 # -- suffix order --------------------------------------------------------------------
 
 
-def _ranks(values: np.ndarray) -> np.ndarray:
-    """The place of each value among the distinct ones."""
-    order = np.argsort(values)
-    ordered = values[order]
-    new = np.empty(len(values), dtype=bool)
-    new[0], new[1:] = False, ordered[1:] != ordered[:-1]
-    ranks = np.empty(len(values), dtype=np.uint64)
-    ranks[order] = np.cumsum(new)
-    return ranks
+def _split(ranks: np.ndarray, active: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Rank the active suffixes by their rank so far, then by what follows; returns those that
+    still share a rank.
+
+    A rank is the place of the first suffix with that prefix, so the ranks of a group's parts lie
+    between the group's and the next one's, and suffixes that are alone keep theirs.
+    """
+    own = ranks[active]
+    order = np.lexsort((following, own))
+    own, following = own[order], following[order]
+    n = len(order)
+    new_group = np.ones(n, dtype=bool)
+    new_group[1:] = own[1:] != own[:-1]
+    new_part = new_group.copy()
+    new_part[1:] |= following[1:] != following[:-1]
+    place = np.arange(n)
+    group_start = np.maximum.accumulate(np.where(new_group, place, 0))
+    part_start = np.maximum.accumulate(np.where(new_part, place, 0))
+    ranks[active[order]] = own + part_start - group_start
+    shared = ~new_part
+    shared[:-1] |= ~new_part[1:]
+    return np.sort(active[order[shared]])
 
 
 def prefix_ranks(text: np.ndarray, length: int) -> np.ndarray:
     """For every suffix with `length` bytes or more, the rank of its prefix of that length.
 
-    Prefix doubling: ranks by 8 bytes, then by 16, 32 and so on; the last step joins two
-    overlapping prefixes.
+    Prefix doubling: ranks by 8 bytes, then by 16, 32 and so on; the last step joins two overlapping
+    prefixes.  Only suffixes that still share their rank are sorted again.
     """
     size = min(8, length)
     n = len(text) - size + 1
-    ranks = np.zeros(n, dtype=np.uint64)
+    first = np.zeros(n, dtype=np.uint64)
     for i in range(size):
-        ranks = ranks << np.uint64(8) | text[i : i + n]
-    ranks = _ranks(ranks)
+        first = first << np.uint64(8) | text[i : i + n]
+    ranks = np.zeros(n, dtype=np.int64)
+    active = _split(ranks, np.arange(n), first)
     while size < length:
         step = min(size, length - size)
-        ranks = _ranks(ranks[:-step] * np.uint64(len(ranks)) + ranks[step:])
+        active = active[active + step < len(ranks)]
+        following = ranks[active + step]
+        # What is cut off at the end has no prefix of that length and is no longer compared.
+        active = _split(ranks, active, following)
         size += step
-    return ranks
+    return ranks[: len(text) - length + 1]
 
 
 def longest_previous_factor(positions: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -492,8 +514,12 @@ def remove_repeats(
     spans = working.write(spans, "spans")
     touched = bitmap(spans, F.col("key.text"))
     cut = texts.mapInArrow(_touched(touched, True), texts.schema).join(spans, "key", "left")
-    whole = texts.mapInArrow(_touched(touched, False), texts.schema)
-    whole = whole.select(
-        "doc_id", "key", "text", F.array().cast("array<struct<start: int, end: int>>").alias("spans")
+    cut = cut.select("doc_id", "key", "text", "spans").mapInArrow(_cut, _RESULT)
+    whole = texts.mapInArrow(_touched(touched, False), texts.schema).select(
+        "doc_id",
+        "key",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.array().cast("array<struct<start: int, end: int>>").alias("spans"),
+        F.col("text").alias("kept"),
     )
-    return cut.select("doc_id", "key", "text", "spans").union(whole).mapInArrow(_cut, _RESULT)
+    return whole.union(working.write(cut, "cut"))
