@@ -42,14 +42,26 @@ def with_outcome(sessions: DataFrame) -> DataFrame:
     )
 
 
+def _grouped(events: DataFrame, *measures: Column) -> DataFrame:
+    """The events grouped by the session keys as one struct, in which nulls are equal."""
+    return events.withColumn("session", F.struct(*SESSION_KEYS)).groupBy("session").agg(*measures)
+
+
+def sessions_without_codes(events: DataFrame) -> DataFrame:
+    """One row per session id and attribute combination, without `last_error_code`."""
+    grouped = _grouped(events, *session_measures())
+    return with_outcome(grouped.select("session.*", "*").drop("session"))
+
+
 def int_user_sessions(events: DataFrame) -> DataFrame:
     """One row per session id and attribute combination.
 
-    `last_error_code` is the largest code as text.  A text maximum needs a sort aggregate;
-    consumers that do not read the column lose it to column pruning and get the hash
-    aggregate back.
+    `last_error_code` is the largest code as text.  A text maximum needs a sort aggregate, so it
+    is taken over the few events that carry a code only, while all events go through a hash
+    aggregate; both leave their rows partitioned by the keys, so the join adds no shuffle.
     """
-    grouped = events.groupBy(*SESSION_KEYS).agg(
-        *session_measures(), F.max("error_code").alias("last_error_code")
-    )
-    return with_outcome(grouped).select(*INT_USER_SESSIONS.names)
+    measures = _grouped(events, *session_measures())
+    coded = events.filter(F.col("error_code").isNotNull())
+    codes = _grouped(coded, F.max("error_code").alias("last_error_code"))
+    joined = measures.join(codes, "session", "left").select("session.*", "*")
+    return with_outcome(joined).select(*INT_USER_SESSIONS.names)

@@ -35,13 +35,18 @@ class Models:
     def int_user_sessions(self) -> DataFrame:
         return sessions.int_user_sessions(self.stg_auth_events)
 
+    @cached_property
+    def _sessions(self) -> DataFrame:
+        """What the marts read of the sessions: not their last error code."""
+        return sessions.sessions_without_codes(self.stg_auth_events)
+
     @cached_property
     def int_auth_funnel(self) -> DataFrame:
         return funnel.int_auth_funnel(self.stg_auth_events)
 
     @cached_property
     def daily_sessions(self) -> DataFrame:
-        return marts.daily_sessions(self.int_user_sessions)
+        return marts.daily_sessions(self._sessions)
 
     @cached_property
     def daily_funnel(self) -> DataFrame:
@@ -53,7 +58,7 @@ class Models:
 
     @cached_property
     def user_session_history(self) -> DataFrame:
-        return marts.user_session_history(self.int_user_sessions)
+        return marts.user_session_history(self._sessions)
 
     @cached_property
     def user_friction_scores(self) -> DataFrame:

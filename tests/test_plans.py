@@ -39,9 +39,15 @@ def test_null_filters_reach_the_scan(stored):
     assert "PushedFilters: [IsNotNull(event_id), IsNotNull(user_id), IsNotNull(event_ts)]" in text
 
 
-def test_marts_group_sessions_with_a_hash_aggregate(stored):
-    assert "SortAggregate" in plan(stored.int_user_sessions)
+def test_sessions_sort_only_events_with_a_code(stored):
+    text = plan(stored.int_user_sessions)
     assert "SortAggregate" not in plan(stored.fct_daily_auth_metrics)
+    assert text.count("Exchange hashpartitioning") == 2
+    lines = text.splitlines()
+    last = max(i for i, line in enumerate(lines) if "SortAggregate" in line)
+    scan = next(line for line in lines[last:] if "FileScan" in line)
+    assert "IsNotNull(error_code)" in scan
+    assert "HashAggregate" in text
 
 
 def test_scores_join_plain_shuffles(spark, stored):
