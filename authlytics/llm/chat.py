@@ -92,9 +92,8 @@ def _pieces(blocks: Column, trained: str) -> Column:
 
 def _loss_spans(pieces: Column) -> Column:
     """(start, length) in characters of the pieces that the loss covers."""
-    state = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<start: int, length: int>>").alias("spans")
-    )
+    none = F.array().cast("array<struct<start: int, length: int>>")
+    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
 
     def add(state: Column, piece: Column) -> Column:
         length = F.length(piece["text"])

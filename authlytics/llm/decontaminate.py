@@ -14,7 +14,7 @@ places near which every term lies close to where the phrase has it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -269,8 +269,7 @@ def search(
         counts = index.select("term", "n").join(wanted, "term").groupBy("term").sum("n").collect()
         rarity = dict.fromkeys(terms, 0) | {bytes(term): n for term, n in counts}
         postings = index.select("segment", "term", "gaps").join(wanted, "term")
-        ends = _starts(index)
-        rows = postings.select("segment", "term", "gaps").union(ends)
+        rows = postings.select("segment", "term", "gaps").union(_starts(index))
         found.append(
             working.write(
                 rows.groupBy("segment").applyInArrow(
@@ -315,10 +314,10 @@ def contamination(
 ) -> DataFrame:
     """A row per document: doc_id, key, n_words, n_hit, n_items, items (their ids as strings).
 
-    Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.  A document word is hit
-    if it lies in an occurrence of a window of an item; n_items counts the ids of items with such
-    windows.  Null texts have no words; items without an id count as one with an empty id; repeated
-    rows are told apart.  Without items nothing is hit, and an empty table gives no rows.
+    Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.  A document
+    word is hit if it lies in an occurrence of a window of an item; n_items counts the ids of items
+    with such windows.  Null texts have no words; items without an id count as one with an empty id;
+    repeated rows are told apart.  Without items nothing is hit, and an empty table gives no rows.
     """
     index = build_index(docs, working)
     matches = search(index, items, working, width).filter("exact")

@@ -383,7 +383,8 @@ def _ranges(least: int, keep_first: bool):
             for i in np.flatnonzero(marked).tolist():
                 packed = np.frombuffer(batch.column("mark")[i].as_py(), dtype=np.uint8)
                 found = np.unpackbits(packed)[: count[i]]
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], found.astype(np.int8), [0]]))).tolist()
+                steps = np.diff(np.concatenate([[0], found.astype(np.int8), [0]]))
+                edges = np.flatnonzero(steps).tolist()
                 for a, b in zip(edges[::2], edges[1::2]):
                     keys.append(i)
                     starts.append(int(start[i]) + a)
@@ -504,9 +505,10 @@ def remove_repeats(
         known.select("context_id", "n", "first", mark).filter("n > 1 OR mark IS NOT NULL"), "known"
     )
     placed = rows.select("key", "start", "windows", "context_id", at.alias("at"))
+    is_first = (F.col("at") == F.col("first")).alias("is_first")
     ranges = (
         placed.join(known, "context_id")
-        .select("key", "start", "windows", "n", (F.col("at") == F.col("first")).alias("is_first"), "mark")
+        .select("key", "start", "windows", "n", is_first, "mark")
         .mapInArrow(_ranges(least, keep_first), f"key {_KEY}, start int, end int")
         .distinct()
     )
