@@ -58,10 +58,10 @@ def test_scores_join_plain_shuffles(spark, stored):
         lines = plan(stored.user_friction_scores).splitlines()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
-    depth = lines[join].index("SortMergeJoin")
-    sides = [i for i, line in enumerate(lines) if i > join and line[: depth + 4].endswith("- Sort") or line[depth : depth + 3] in ("+- ", ":- ")]
-    below = [lines[i + 1] for i in sides if "Sort" in lines[i]]
+    join = next(line for line in lines if "SortMergeJoin" in line)
+    depth = join.index("SortMergeJoin")
+    sides = [i for i, line in enumerate(lines) if line[depth:].startswith((":- Sort", "+- Sort"))]
+    below = [lines[i + 1] for i in sides]
     assert len(below) == 2 and all("Exchange hashpartitioning" in line for line in below)
 
 
