@@ -30,22 +30,26 @@ WORD_BYTES = bytes(
 )
 
 BITMAP_BITS = 1 << 26  # 8 MB on the driver and in each worker, whatever the size of the input
+BROADCAST_ROWS = 1 << 20
 _BUCKET_BITS = 32768  # of one row of bitmap_construct_agg
 
 
+BATCH_ROWS = 2000  # that a job of an operator sends Python at a time
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Jobs run inside send Python so many rows at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, rows)
+    before = spark.conf.get(_ARROW_ROWS, None)
+    spark.conf.set(_ARROW_ROWS, rows)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(name)
+            spark.conf.unset(_ARROW_ROWS)
         else:
-            spark.conf.set(name, before)
+            spark.conf.set(_ARROW_ROWS, before)
 
 
 _held: list = [None, None]
@@ -66,10 +70,21 @@ def worker_cache(name: object, make: Callable[[], T]) -> T:
 _shipped: set[str] = set()
 
 
+# Python workers live as long as the executor and are used by one operator after the other: they
+# give large blocks back to the system instead of keeping them for the next.
+_WORKER_SETTINGS = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+}
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application."""
     context = spark.sparkContext
     if context.applicationId not in _shipped:
+        context.environment.update(_WORKER_SETTINGS)
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         root, name = os.path.split(package)
         archive = os.path.join(tempfile.mkdtemp(), name)
@@ -77,9 +92,6 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-BATCH_ROWS = 2000  # that a job of an operator sends Python at a time
-
-
 class Work(WorkingTables):
     """Working tables for jobs whose tasks run code of this package."""
 
@@ -187,6 +199,15 @@ def bitmap(rows: DataFrame, key: Column, bits: int = BITMAP_BITS) -> np.ndarray:
     return whole
 
 
+def broadcast_if_few(written: DataFrame) -> DataFrame:
+    """A written table of narrow rows, to be sent to every executor where it is small enough.
+
+    The check is the table's own row count: at most BROADCAST_ROWS rows of some 50 bytes are sent,
+    and beyond that the join shuffles both sides.
+    """
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the signed 64-bit keys may be in the bitmap."""
     place = np.mod(keys.astype(np.int64), np.int64(8 * len(bits) - _BUCKET_BITS))
