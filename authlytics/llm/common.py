@@ -81,8 +81,14 @@ _WORKER_SETTINGS = {
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application."""
+    """Send this package to the executors, once per application.
+
+    A session that has not chosen the size of Arrow batches gets BATCH_ROWS, for jobs that run
+    after an operator has returned.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_ARROW_ROWS, None) is None:
+        spark.conf.set(_ARROW_ROWS, BATCH_ROWS)
     if context.applicationId not in _shipped:
         context.environment.update(_WORKER_SETTINGS)
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -74,6 +74,26 @@ def test_working_tables_are_dropped_by_name(spark):
         spark.read.parquet(f"{work.folder}/gone").count()
 
 
+def test_only_small_tables_are_broadcast(spark, monkeypatch):
+    rows = common.Work(spark).write(spark.range(20), "rows")
+
+    def hinted(frame):
+        return "ResolvedHint" in frame._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(common.broadcast_if_few(rows))
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 19)
+    assert not hinted(common.broadcast_if_few(rows))
+
+
+def test_the_session_keeps_its_own_batch_size(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    with common.arrow_rows(spark, 7):
+        common.Work(spark)
+        assert spark.conf.get(name) == "7"
+    assert spark.conf.get(name, None) == before
+
+
 def test_a_worker_keeps_one_cache():
     made = []
     for name in ("a", "a", "b", "a"):
