@@ -1,9 +1,10 @@
 """Byte-pair encoding through a table of distinct words, and decoding.
 
 Spark splits texts into words.  Each segment (documents of one partition with about SEGMENT_WORDS
-words) numbers its distinct words by frequency and keeps its documents as runs of those numbers, so a word that makes up a third
-of all words costs a byte per occurrence and is sent once per segment.  Distinct words go to the
-owner of their hash, which encodes each of them once, however many segments sent it, and answers
+words) numbers its distinct words by frequency and keeps its documents as runs of those numbers, so
+a word that makes up a third of all words costs a byte per occurrence and is sent once per segment.
+Distinct words go to the owner of their hash, which encodes each of them once, however many segments
+sent it, and answers
 with its ids; a segment then replaces numbers by ids, position by position.  Runs are bucketed by
 segment and stay where they are; only words and their ids are shuffled.  Decoding joins ids
 with the table of pieces, whose size is that of the vocabulary.
@@ -25,9 +26,10 @@ from pyspark.sql import functions as F
 from authlytics.llm.byte_pairs import PATTERN, BytePairs
 from authlytics.llm.common import Work, row_key, shuffle_partitions, worker_cache
 
-SEGMENT_WORDS = 6_000_000
+SEGMENT_WORDS = 3_000_000
 
-_SPLIT = """segment long, place int, doc struct<doc_id: long, key: struct<doc_id: long, text: long>>,
+_SPLIT = """segment long, place int,
+    doc struct<doc_id: long, key: struct<doc_id: long, text: long>>,
     numbers binary, owner int, owned binary, lengths binary, words binary"""
 
 
@@ -184,6 +186,19 @@ def _encode_distinct(vocabulary):
     return encode
 
 
+def _place(vocabulary):
+    """Documents with their ids, and, given a vocabulary, with what these decode to."""
+
+    def place(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = _place_ids(docs, answers)
+        if vocabulary is None:
+            return rows
+        texts = _join_pieces(rows.column("ids"), _pieces(_loaded(vocabulary.value)))
+        return rows.append_column("decoded", pa.array(texts, pa.string()))
+
+    return place
+
+
 def _place_ids(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """The documents of a segment with their ids, by the number of each word."""
     numbers, counts, ids = [], [], []
@@ -213,8 +228,11 @@ def _place_ids(docs: pa.Table, answers: pa.Table) -> pa.Table:
     )
 
 
-def encode(docs: DataFrame, vocabulary: str, working: Work) -> DataFrame:
-    """A row per document: doc_id, key (tells rows apart), n_tokens, ids.
+def encode(
+    docs: DataFrame, vocabulary: str, working: Work, decoded: bool = False
+) -> DataFrame:
+    """A row per document: doc_id, key (tells rows apart), n_tokens, ids; with `decoded` also what
+    `decode` makes of the ids, in the same task.
 
     `vocabulary` is the JSON text of a byte-level vocabulary.  ids are the whole text's token ids as
     little-endian unsigned 32-bit integers, as the vocabulary's own library gives them without added
@@ -246,8 +264,9 @@ def encode(docs: DataFrame, vocabulary: str, working: Work) -> DataFrame:
         runs.groupBy("segment")
         .cogroup(answers.groupBy("segment"))
         .applyInArrow(
-            _place_ids,
-            "doc_id long, key struct<doc_id: long, text: long>, n_tokens long, ids binary",
+            _place(sent if decoded else None),
+            "doc_id long, key struct<doc_id: long, text: long>, n_tokens long, ids binary"
+            + ", decoded string" * decoded,
         )
     )
 
@@ -267,19 +286,9 @@ def decode(encoded: DataFrame, vocabulary: str, name: str = "decoded") -> DataFr
     at = encoded.columns.index("ids")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _loaded(sent.value)
-        size = max(pairs.pieces) + 1
-        pieces = pa.array([pairs.pieces.get(i, b"") for i in range(size)], pa.large_binary())
+        pieces = _pieces(_loaded(sent.value))
         for batch in batches:
-            texts = []
-            for code in batch.column(at):
-                if code.as_py() is None:
-                    texts.append(None)
-                    continue
-                ids = np.frombuffer(code.as_py(), dtype="<u4")
-                found = pieces.take(pa.array(np.where(ids < size, ids, 0)))
-                known = found.filter(pa.array(ids < size)) if (ids >= size).any() else found
-                texts.append(_joined(known).decode("utf-8", "replace"))
+            texts = _join_pieces(batch.column(at), pieces)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name]
             )
@@ -287,6 +296,25 @@ def decode(encoded: DataFrame, vocabulary: str, name: str = "decoded") -> DataFr
     return encoded.mapInArrow(join, f"{fields}, `{name}` string")
 
 
+def _pieces(pairs: BytePairs) -> pa.Array:
+    """The table of pieces: the bytes of each id, in order."""
+    size = max(pairs.pieces) + 1
+    return pa.array([pairs.pieces.get(i, b"") for i in range(size)], pa.large_binary())
+
+
+def _join_pieces(codes: pa.Array, pieces: pa.Array) -> list[str | None]:
+    texts, size = [], len(pieces)
+    for code in codes:
+        if code.as_py() is None:
+            texts.append(None)
+            continue
+        ids = np.frombuffer(code.as_py(), dtype="<u4")
+        found = pieces.take(pa.array(np.where(ids < size, ids, 0)))
+        known = found.filter(pa.array(ids < size)) if (ids >= size).any() else found
+        texts.append(_joined(known).decode("utf-8", "replace"))
+    return texts
+
+
 def _joined(pieces: pa.LargeBinaryArray) -> bytes:
     """All pieces in a row: the values as they lie in memory."""
     if not len(pieces):

@@ -140,8 +140,8 @@ def op7_bpe(
     vocabulary: str = public_tokenizers.path("byte_bpe_50k.json"),
 ) -> DataFrame:
     vocabulary = read_vocabulary(vocabulary)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, Work(spark))
-    return bpe.decode(encoded, vocabulary).select(
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, vocabulary, Work(spark), decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

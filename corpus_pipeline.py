@@ -34,8 +34,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per document: its id, token count, and digests of its ids and of their decoding."""
     vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = bpe.encode(docs, vocabulary, Work(spark))
-    return bpe.decode(encoded, vocabulary).select(
+    return bpe.encode(docs, vocabulary, Work(spark), decoded=True).select(
         "doc_id",
         "n_tokens",
         "ids",
