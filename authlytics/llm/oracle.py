@@ -1,5 +1,26 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
+
+def _distance(a: str, b: str) -> str:
+    return f"list_sum(list_transform(range(1, 65), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])))"
+
+
+def _round(k: int) -> str:
+    """Vectors with their nearest centroid of step k, and the centroids of the step after it."""
+    return f"""
+        near{k} AS (
+            SELECT r, any_value(x) AS x, min([{_distance("x", "c")}, cluster]::BIGINT[]) AS best
+            FROM v, c{k} GROUP BY r),
+        sum{k} AS (
+            SELECT best[2] AS cluster, i, count(*) AS n, sum(x[i])::BIGINT AS s
+            FROM near{k}, (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL),
+        mean{k} AS (
+            SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS mean
+            FROM sum{k} GROUP BY cluster),
+        c{k + 1} AS (
+            SELECT cluster, coalesce(mean, c) AS c FROM c{k} LEFT JOIN mean{k} USING (cluster))"""
+
+
 STATEMENTS: dict[str, str] = {
     "op1_decontaminate": r"""
         WITH words AS (
@@ -185,4 +206,72 @@ STATEMENTS: dict[str, str] = {
         components AS (SELECT node, min(id) AS component_id FROM reached GROUP BY node)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM documents JOIN components ON node = doc_id LEFT JOIN sizes USING (doc_id)""",
+    "op11_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   sha256(coalesce(role, '') || chr(0) || coalesce(text, '')) AS said, row_number() OVER (
+                       PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                       sha256(coalesce(role, '') || chr(0) || coalesce(text, ''))) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (
+            SELECT conv_id, xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(
+                           string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                       lambda c, b: list_reduce(
+                           list_prepend(xor(c, b), [0::BIGINT for _ in range(8)]),
+                           lambda k, z: xor(k >> 1, (k & 1) * 3988292384)))) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM t)),
+        starts AS (
+            SELECT c.conv_id, place, said, text FROM c
+            JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND place < h),
+        steps AS (
+            SELECT * FROM starts
+            UNION ALL SELECT conv_id, place - h + coalesce(n, 0), said, text
+            FROM t JOIN c USING (conv_id)
+            LEFT JOIN (SELECT conv_id, count(*) AS n FROM starts GROUP BY conv_id) USING (conv_id)
+            WHERE place >= h),
+        named AS (
+            SELECT conv_id, place, text, count(*) OVER (PARTITION BY conv_id) AS n,
+                   sha256(string_agg(said, ',') OVER (PARTITION BY conv_id ORDER BY place)) AS node
+            FROM steps),
+        members AS (
+            SELECT conv_id, place + 1 AS depth, node, length(text) AS chars, n = place + 1 AS ending,
+                   lag(node, 1, '') OVER (PARTITION BY conv_id ORDER BY place) AS parent
+            FROM named
+            UNION ALL SELECT conv_id, 0, '', 0,
+                             conv_id NOT IN (SELECT conv_id FROM steps), NULL FROM c),
+        nodes AS (
+            SELECT node, depth, any_value(parent) AS parent, any_value(chars) AS chars,
+                   min(conv_id) AS conv_id, count(*) AS n_convs,
+                   string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ending) AS ends
+            FROM members GROUP BY node, depth),
+        grown AS (
+            SELECT u.*, p.conv_id AS parent_conv_id,
+                   (SELECT count(*) FROM nodes k WHERE k.parent = u.node) AS n_children
+            FROM nodes u LEFT JOIN nodes p ON p.node = u.parent),
+        totals AS (
+            SELECT m.node, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+                   sum((n_convs - 1) * g.chars)::BIGINT AS saved_tokens
+            FROM grown g JOIN members m ON m.conv_id = g.conv_id AND m.depth <= g.depth
+            GROUP BY m.node)
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+               sha256(coalesce(ends, '')) AS ends_sha256
+        FROM grown JOIN totals USING (node)""",
+    "op12_centroids": rf"""
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: greatest(
+                       least(floor(64 * e::DOUBLE), 134217728), -134217728)::BIGINT) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding,
+                lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+        c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, x AS c
+            FROM v ORDER BY sha256('1:' || vec_id) LIMIT 16),{_round(0)},{_round(1)},{_round(2)},
+        last AS (
+            SELECT r, min([{_distance("x", "c")}, cluster]::BIGINT[]) AS best FROM v, c3 GROUP BY r)
+        SELECT vec_id, cluster::INT AS cluster, best[1] AS distance,
+               sum(best[1]) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+               sum(best[1]) OVER ()::BIGINT AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM last JOIN v USING (r) JOIN c3 ON cluster = best[2]""",
 }

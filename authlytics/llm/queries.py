@@ -12,6 +12,7 @@ import public_tokenizers
 import corpus_pipeline
 from authlytics.llm import (
     bpe,
+    centroids,
     chat,
     decontaminate,
     exact_dedup,
@@ -19,6 +20,8 @@ from authlytics.llm import (
     near_dedup,
     oracle,
     prefix_counts,
+    prefix_trie,
+    simhash,
     suffix_dedup,
     urls,
     warc,
@@ -163,6 +166,23 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("node", "key")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), Work(spark))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), Work(spark))
+    return found.withColumn(
+        "centroid_sha256", centroids.digest(F.col("centroid"))
+    ).drop("centroid")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash(table(spark, sf_dir, "documents"), Work(spark))
+    digits = F.lower(F.lpad(F.hex("value"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -175,6 +195,9 @@ def queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_warc": op9_warc,
         "op10_near_dedup": op10_near_dedup,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_centroids": op12_centroids,
+        "op13_simhash": op13_simhash,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from comparison import assert_same, open_tables
-from reference import contamination, exact_groups, near_components
+from reference import contamination, exact_groups, near_components, simhash_components
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
@@ -22,7 +22,7 @@ def test_every_query_is_registered():
     names = list(queries.queries())
     assert set(names) <= set(registry.queries())
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")]
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert set(queries.oracle_sql()) == set(oracle.STATEMENTS) <= set(names)
 
 
@@ -60,6 +60,12 @@ def pairs(rows):
     return [(r["doc_id"], r["text"]) for r in rows.collect()]
 
 
+def test_simhash_query_is_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = [(r[0], int(r[1], 16), r[2]) for r in queries.op13_simhash(spark, SF_DIR).collect()]
+    assert sorted(found, key=repr) == simhash_components(pairs(docs))
+
+
 def test_pipeline_stage_by_stage(spark):
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
         "drop_unidentified",
