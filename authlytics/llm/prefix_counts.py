@@ -29,6 +29,8 @@ _WHITE_RUN = regex.compile(f"[{WHITE}]{{2}}")
 # Words of the pattern that a cut after two characters splits in two.
 _CUT_CONTRACTIONS = ("'re", "'ve", "'ll")
 _KEPT_WORDS = 1 << 18
+_TOGETHER = 24  # characters of a word up to which words are computed together
+_GROUP_CHARS = 1 << 22  # of texts whose words are looked up together
 
 
 class _Steps(dict):
@@ -40,11 +42,30 @@ class _Steps(dict):
 
     def __missing__(self, word: str) -> bytes:
         steps = self.older.get(word) or self._steps(word)
+        self._age()
+        self[word] = steps
+        return steps
+
+    def _age(self) -> None:
         if len(self) >= _KEPT_WORDS:
             self.older = dict(self)
             self.clear()
-        self[word] = steps
-        return steps
+
+    def learn(self, words: set[str]) -> None:
+        """Have the steps of the words at hand, computed together where they are new."""
+        older, new = self.older, []
+        for word in words.difference(self):
+            if word in older:
+                self[word] = older[word]
+            elif len(word) <= _TOGETHER and word not in _CUT_CONTRACTIONS:
+                new.append(word)
+        self._age()
+        if not new:
+            return
+        steps, lengths = self.pairs.prefix_steps([word.encode() for word in new])
+        steps, ends = steps.tobytes(), np.cumsum(lengths)
+        for word, start, end in zip(new, (ends - lengths).tolist(), ends.tolist()):
+            self[word] = steps[start:end]
 
     def _steps(self, word: str) -> bytes:
         _, counts = self.pairs.prefixes(word.encode())
@@ -64,12 +85,15 @@ class PrefixCounter:
     def __init__(self, vocabulary: str):
         self.pairs = BytePairs(vocabulary)
         self.steps = _Steps(self.pairs)
-        specials = sorted(self.pairs.specials, key=len, reverse=True)
-        self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+        self.names = sorted(self.pairs.specials, key=len, reverse=True)
+        self.specials = regex.compile("|".join(map(regex.escape, self.names)))
+
+    def _special(self, text: str) -> bool:
+        return any(name in text for name in self.names)
 
     def of(self, text: str) -> np.ndarray:
         """The step of the token count at every character of the text."""
-        if not self.specials or not self.specials.search(text):
+        if not self._special(text):
             return self._plain(text)
         parts, start = [], 0
         for found in self.specials.finditer(text):
@@ -81,9 +105,18 @@ class PrefixCounter:
             start = found.end()
         return np.concatenate([*parts, self._plain(text[start:])])
 
-    def _plain(self, text: str) -> np.ndarray:
-        words = _WORDS.findall(text)
-        steps = np.frombuffer(b"".join([self.steps[w] for w in words]), dtype=np.int8)
+    def of_many(self, texts: list[str]) -> list[np.ndarray]:
+        """`of` each text, with the words of all of them looked up together."""
+        words = [None if self._special(text) else _WORDS.findall(text) for text in texts]
+        self.steps.learn(set().union(*(own for own in words if own)))
+        return [
+            self.of(text) if own is None else self._plain(text, own)
+            for text, own in zip(texts, words)
+        ]
+
+    def _plain(self, text: str, words: list[str] | None = None) -> np.ndarray:
+        words = _WORDS.findall(text) if words is None else words
+        steps = np.frombuffer(b"".join(map(self.steps.__getitem__, words)), dtype=np.int8)
         if _WHITE_RUN.search(text):
             steps = steps.copy()
             at = 0
@@ -98,6 +131,20 @@ class PrefixCounter:
         return steps
 
 
+def _groups(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, a bounded number of characters (or one text) at a time."""
+    held, chars = [], 0
+    for text in column:
+        text = text.as_py()
+        if held and chars + len(text) > _GROUP_CHARS:
+            yield held
+            held, chars = [], 0
+        held.append(text)
+        chars += len(text)
+    if held:
+        yield held
+
+
 def tokens_at(steps: np.ndarray, chars: int) -> int:
     """The token count of the text's first characters."""
     return int(steps[:chars].sum(dtype=np.int64))
@@ -132,7 +179,9 @@ def prefix_counts(docs: DataFrame, vocabulary: str, budget: int = 512) -> DataFr
         name = ("prefix counts", zlib.crc32(vocabulary.encode()))
         counter = worker_cache(name, lambda: PrefixCounter(vocabulary))
         for batch in batches:
-            steps = [counter.of(text.as_py()) for text in batch.column(3)]
+            steps = []
+            for texts in _groups(batch.column(3)):
+                steps += counter.of_many(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],

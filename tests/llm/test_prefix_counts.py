@@ -6,7 +6,7 @@ import pytest
 from cases import ODD_TEXTS, documents, prose
 from tokenizers import Tokenizer
 
-from authlytics.llm import prefix_counts
+from authlytics.llm import byte_pairs, prefix_counts
 from authlytics.llm.byte_pairs import BytePairs, read_vocabulary
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,24 @@ def test_every_prefix_has_the_count_of_its_own_encoding(vocabulary):
         assert counts == n_tokens([text[:k] for k in range(1, len(text) + 1)])
 
 
+def test_words_computed_together_agree_with_single_ones(vocabulary):
+    texts = [mixed(seed, 300) for seed in range(60)] + [prose(5, 800), "", "x" * 90, "<|endoftext|>a"]
+    together = prefix_counts.PrefixCounter(vocabulary).of_many(texts)
+    single = prefix_counts.PrefixCounter(vocabulary)
+    assert all((a == single.of(t)).all() and len(a) == len(t) for a, t in zip(together, texts))
+
+
+def test_forgotten_words_and_pairs_are_computed_again(vocabulary, monkeypatch):
+    texts = [mixed(seed, 200) for seed in range(40)]
+    expected = [prefix_counts.PrefixCounter(vocabulary).of(t) for t in texts]
+    monkeypatch.setattr(prefix_counts, "_KEPT_WORDS", 20)
+    monkeypatch.setattr(byte_pairs, "_KEPT_PAIRS", 300)
+    counter = prefix_counts.PrefixCounter(vocabulary)
+    for i in range(0, 40, 4):
+        found = counter.of_many(texts[i : i + 4])
+        assert all((a == b).all() for a, b in zip(found, expected[i : i + 4]))
+
+
 def test_long_words_agree_with_plain_merging(vocabulary):
     pairs = BytePairs(vocabulary)
     for word in (b"ab" * 300, b"a" * 1000, prose(3, 80).replace(" ", "").encode()):
