@@ -15,6 +15,54 @@ AUTH_FAILURE_TYPES = (
     "mfa_timeout",
 )
 
+# Flags by the raw event types that set them.
+EVENT_FLAGS = {
+    "is_auth_failure": AUTH_FAILURE_TYPES,
+    "is_successful_login": ("login_success",),
+    "is_login_attempt": ("login_attempt",),
+}
+
+# Classes by the whole raw text, or by its beginning (after a `^`); else OTHER.
+DEVICE_CLASSES = {
+    "^mobile": "mobile",
+    "^desktop": "desktop",
+    "web_browser": "web",
+    "smart_tv": "smart_tv",
+}
+SUBSCRIPTION_CLASSES = {"free": "free", "^premium": "premium"}
+OTHER = "unknown"
+
+
+# -- SQL text of rules, for views as well as for DataFrames ---------------------------
+
+
+def _quoted(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
+def member_of(column: str, values: tuple[str, ...]) -> str:
+    """Whether the text is one of the values; null stays null."""
+    return f"{column} IN ({_quoted(values)})"
+
+
+def class_of(column: str, classes: dict[str, str]) -> str:
+    """The class whose rule the lower-cased text meets."""
+    text, branches = f"lower({column})", []
+    for rule, name in classes.items():
+        start = rule.removeprefix("^")
+        meets = f"startswith({text}, '{start}')" if rule != start else f"{text} = '{rule}'"
+        branches.append(f"WHEN {meets} THEN '{name}'")
+    return f"CASE {' '.join(branches)} ELSE '{OTHER}' END"
+
+
+def start_of(unit: str, column: str) -> str:
+    """The start of the hour, day or month that a zone-free time lies in."""
+    day = f"CAST({column} AS DATE)"
+    if unit == "month":
+        day = f"trunc({day}, 'month')"
+    start = f"CAST({day} AS TIMESTAMP_NTZ)"
+    return f"{start} + make_dt_interval(0, hour({column}))" if unit == "hour" else start
+
 
 # -- time ---------------------------------------------------------------------------
 

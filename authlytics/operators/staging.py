@@ -1,64 +1,79 @@
 """Staging: drop unusable raw rows, normalise text, derive flags and truncated times.
 
-The models are SQL text, so that the same statement is a lazy DataFrame here and a view in a
-database (`plans.pipeline`).  Within a SELECT, names mean the raw columns: the flags and the device
-class see the raw text, not the normalised column of the same name.  Times are cast without a zone,
-so nothing goes through the session time zone.
+A model is its declared columns: those without a rule here are the raw column of the same name.
+Rules are SQL text made from the tables of `functions.columns`; a lazy DataFrame and the view in a
+database (`plans.pipeline`) come from the same rules.  Rules mean the raw columns: flags and
+classes see the raw text, not the normalised column of the same name.  Times are cast without a
+zone, so nothing goes through the session time zone.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
+
+from authlytics.functions import columns as c
+from authlytics.schemas import STG_AUTH_EVENTS, STG_USERS
+
+
+@dataclass(frozen=True)
+class Staging:
+    """A staging model: its columns, the rules of those that are derived, and what rows need."""
+
+    columns: StructType
+    rules: dict[str, str]
+    required: tuple[str, ...]
+
+    def _selected(self) -> list[str]:
+        return [f"{self.rules[n]} AS {n}" if n in self.rules else n for n in self.columns.names]
+
+    def _usable(self) -> str:
+        return " AND ".join(f"{name} IS NOT NULL" for name in self.required)
+
+    def over(self, raw: DataFrame) -> DataFrame:
+        return raw.filter(self._usable()).selectExpr(*self._selected())
+
+    def view_text(self, raw: str) -> str:
+        return f"SELECT {', '.join(self._selected())} FROM {raw} WHERE {self._usable()}"
+
+
+def _tidy(change: str, *names: str) -> dict[str, str]:
+    return {name: f"{change}(trim({name}))" for name in names}
+
+
+EVENTS = Staging(
+    STG_AUTH_EVENTS,
+    rules={
+        **_tidy("lower", "event_type", "device_type", "subscription_type"),
+        "country_code": "upper(trim(country))",
+        "device_category": c.class_of("device_type", c.DEVICE_CLASSES),
+        "is_error_event": "error_code IS NOT NULL",
+        **{flag: c.member_of("event_type", kinds) for flag, kinds in c.EVENT_FLAGS.items()},
+        "event_ts": "CAST(event_ts AS TIMESTAMP_NTZ)",
+        "event_date": c.start_of("day", "event_ts"),
+        "event_hour": c.start_of("hour", "event_ts"),
+    },
+    required=("event_id", "user_id", "event_ts"),
+)
 
-from authlytics.functions.columns import AUTH_FAILURE_TYPES
-
-_FAILURES = ", ".join(f"'{kind}'" for kind in AUTH_FAILURE_TYPES)
-_DAY = "CAST(CAST(event_ts AS DATE) AS TIMESTAMP_NTZ)"
-
-# One row per raw event that has an event id, a user id and a timestamp.
-STG_AUTH_EVENTS = f"""
-SELECT event_id,
-       session_id,
-       user_id,
-       lower(trim(event_type)) AS event_type,
-       lower(trim(device_type)) AS device_type,
-       CASE WHEN lower(device_type) LIKE 'mobile%' THEN 'mobile'
-            WHEN lower(device_type) LIKE 'desktop%' THEN 'desktop'
-            WHEN lower(device_type) = 'web_browser' THEN 'web'
-            WHEN lower(device_type) = 'smart_tv' THEN 'smart_tv'
-            ELSE 'unknown' END AS device_category,
-       upper(trim(country)) AS country_code,
-       lower(trim(subscription_type)) AS subscription_type,
-       mfa_enabled,
-       error_code,
-       CAST(event_ts AS TIMESTAMP_NTZ) AS event_ts,
-       {_DAY} AS event_date,
-       {_DAY} + make_dt_interval(0, hour(event_ts)) AS event_hour,
-       error_code IS NOT NULL AS is_error_event,
-       event_type IN ({_FAILURES}) AS is_auth_failure,
-       event_type = 'login_success' AS is_successful_login,
-       event_type = 'login_attempt' AS is_login_attempt
-FROM {{raw_auth_events}}
-WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_ts IS NOT NULL"""
-
-# One row per raw user that has an id.
-STG_USERS = """
-SELECT user_id,
-       CAST(created_at AS TIMESTAMP_NTZ) AS created_at,
-       upper(trim(country)) AS country_code,
-       lower(trim(subscription_type)) AS subscription_type,
-       age_group,
-       email_verified,
-       mfa_enabled,
-       CASE WHEN lower(subscription_type) = 'free' THEN 'free'
-            WHEN lower(subscription_type) LIKE 'premium%' THEN 'premium'
-            ELSE 'unknown' END AS subscription_tier,
-       CAST(trunc(CAST(created_at AS DATE), 'month') AS TIMESTAMP_NTZ) AS cohort_month
-FROM {raw_users}
-WHERE user_id IS NOT NULL"""
+USERS = Staging(
+    STG_USERS,
+    rules={
+        **_tidy("lower", "subscription_type"),
+        "country_code": "upper(trim(country))",
+        "subscription_tier": c.class_of("subscription_type", c.SUBSCRIPTION_CLASSES),
+        "created_at": "CAST(created_at AS TIMESTAMP_NTZ)",
+        "cohort_month": c.start_of("month", "created_at"),
+    },
+    required=("user_id",),
+)
 
 
 def stg_auth_events(raw_auth_events: DataFrame) -> DataFrame:
-    return raw_auth_events.sparkSession.sql(STG_AUTH_EVENTS, raw_auth_events=raw_auth_events)
+    """One row per raw event that has an event id, a user id and a timestamp."""
+    return EVENTS.over(raw_auth_events)
 
 
 def stg_users(raw_users: DataFrame) -> DataFrame:
-    return raw_users.sparkSession.sql(STG_USERS, raw_users=raw_users)
+    """One row per raw user that has an id."""
+    return USERS.over(raw_users)

@@ -83,15 +83,8 @@ def build_all(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     Returns every relation as it is read from the database.
     """
     raw_users, raw_auth_events = (spark.table(f"{database}.{name}") for name in RAW)
-    publish_view(
-        spark, database, "stg_users", staging.STG_USERS.format(raw_users=f"{database}.raw_users")
-    )
-    publish_view(
-        spark,
-        database,
-        "stg_auth_events",
-        staging.STG_AUTH_EVENTS.format(raw_auth_events=f"{database}.raw_auth_events"),
-    )
+    for raw, name, model in zip(RAW, STAGING, (staging.USERS, staging.EVENTS)):
+        publish_view(spark, database, name, model.view_text(f"{database}.{raw}"))
     working = WorkingTables(spark)
     try:
         relations = build_relations(spark, raw_users, raw_auth_events, working.write)
