@@ -27,14 +27,15 @@ class Staging:
     def _selected(self) -> list[str]:
         return [f"{self.rules[n]} AS {n}" if n in self.rules else n for n in self.columns.names]
 
-    def _usable(self) -> str:
+    @property
+    def usable(self) -> str:
         return " AND ".join(f"{name} IS NOT NULL" for name in self.required)
 
     def over(self, raw: DataFrame) -> DataFrame:
-        return raw.filter(self._usable()).selectExpr(*self._selected())
+        return raw.filter(self.usable).selectExpr(*self._selected())
 
     def view_text(self, raw: str) -> str:
-        return f"SELECT {', '.join(self._selected())} FROM {raw} WHERE {self._usable()}"
+        return f"SELECT {', '.join(self._selected())} FROM {raw} WHERE {self.usable}"
 
 
 def _tidy(change: str, *names: str) -> dict[str, str]:

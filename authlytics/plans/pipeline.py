@@ -3,12 +3,14 @@
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from authlytics.operators import marts, quality, reports, staging
 from authlytics.plans.checks import DECLARED_CHECKS
 from authlytics.plans.rollup import GRAIN, auth_rollup, rollup_funnel, rollup_sessions
-from authlytics.plans.storage import WorkingTables, publish, publish_view
+from authlytics.plans.storage import Build, WorkingTables, load_raw, measured, publish_view
+from authlytics.schemas import RAW_AUTH_EVENTS, RAW_USERS
 
 REPORTS = {
     "rpt_overall_health": ("fct_daily_auth_metrics", reports.overall_health),
@@ -38,6 +40,9 @@ def _scores(working: WorkingTables, rollup: DataFrame, users: DataFrame) -> Data
 
 RAW = ("raw_users", "raw_auth_events")
 STAGING = ("stg_users", "stg_auth_events")
+_SCHEMAS = dict(zip(RAW, (RAW_USERS, RAW_AUTH_EVENTS)))
+# The staging view over each raw table.
+_VIEWS = dict(zip(RAW, zip(STAGING, (staging.USERS, staging.EVENTS))))
 MARTS = {"fct_daily_auth_metrics": _fct, "user_friction_scores": _scores}
 
 
@@ -67,9 +72,56 @@ def build_relations(
     return relations
 
 
-def run_checks(relations: dict[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
-    """The declared checks over relations by name, one row per check."""
-    return quality.check_all(relations, DECLARED_CHECKS, as_of)
+def _measured_as(check: quality.Check) -> tuple[str, str, str]:
+    """(table, value, usable): what a check is measured on while that table is written."""
+    for raw, (view, model) in _VIEWS.items():
+        if check.relation == view:
+            return raw, model.rules.get(check.column, check.column), model.usable
+    return check.relation, check.column, "true"
+
+
+def measures(table: str) -> dict[str, Column]:
+    """The declared checks of a table, and of the staging view over it, that its write can take."""
+    found: dict[str, Column] = {}
+    for check in DECLARED_CHECKS:
+        written, value, usable = _measured_as(check)
+        if written == table:
+            found |= quality.measure(check, value, usable)
+    return found
+
+
+def load(rows: DataFrame, database: str, table: str) -> None:
+    """Replace a raw table by the rows, measuring its checks as they are written."""
+    load_raw(rows, _SCHEMAS[table], database, table, measures(table))
+
+
+def known_failures(
+    spark: SparkSession, database: str, as_of: datetime | None = None
+) -> dict[str, int]:
+    """Failures of declared checks that were measured while the database's tables were written."""
+    at = F.localtimestamp() if as_of is None else F.lit(str(as_of))
+    (now,) = spark.range(1).select(at.cast("string")).first()
+    found: dict[str, object] = {}
+    for group in (*RAW, "marts"):
+        found |= measured(spark, database, group)
+    failures: dict[str, int] = {}
+    for check in DECLARED_CHECKS:
+        name = check.measure_name(_measured_as(check)[1])
+        if name in found:
+            settled = quality.settled(check, found[name], now)
+            if settled is not None:
+                failures[check.name] = settled
+    return failures
+
+
+def run_checks(
+    relations: dict[str, DataFrame],
+    as_of: datetime | None = None,
+    failures: dict[str, int] | None = None,
+) -> DataFrame:
+    """The declared checks over relations by name, one row per check; `failures` as known from
+    `known_failures` need no scan."""
+    return quality.check_all(relations, DECLARED_CHECKS, as_of, failures)
 
 
 def run_report(name: str, relations: dict[str, DataFrame]) -> DataFrame:
@@ -83,14 +135,16 @@ def build_all(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     Returns every relation as it is read from the database.
     """
     raw_users, raw_auth_events = (spark.table(f"{database}.{name}") for name in RAW)
-    for raw, name, model in zip(RAW, STAGING, (staging.USERS, staging.EVENTS)):
+    for raw, (name, model) in _VIEWS.items():
         publish_view(spark, database, name, model.view_text(f"{database}.{raw}"))
-    working = WorkingTables(spark)
-    try:
-        relations = build_relations(spark, raw_users, raw_auth_events, working.write)
-        publish(spark, database, "marts", {name: relations[name] for name in MARTS})
-    finally:
-        working.drop()
+    build = Build(spark, database, "marts")
+    build_relations(
+        spark,
+        raw_users,
+        raw_auth_events,
+        lambda rows, name: build.write(rows, name, measures(name)),
+    )
+    build.show()
     return open_relations(spark, database)
 
 
