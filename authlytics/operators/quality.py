@@ -41,6 +41,54 @@ def unique(relation: DataFrame, column: str) -> DataFrame:
     )
 
 
+PLACES = 1 << 26  # of the bitmap: 8 MB, whatever the number of rows
+_BUCKET_BITS = 32768  # of one row of bitmap_construct_agg
+
+
+def repeated_places(relation: DataFrame, column: str, places: int = PLACES) -> DataFrame:
+    """(bucket, bits): the places, hashes of the values modulo `places`, that occur twice.
+
+    Rows are counted by place, a number of four bytes; the bitmap has a fixed size.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(places)).cast("int")
+    counted = (
+        relation.filter(F.col(column).isNotNull())
+        .groupBy(place.alias("place"))
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
+    )
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("place"))
+    return counted.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(bits.alias("bits"))
+
+
+def may_repeat(
+    relation: DataFrame, column: str, repeated: DataFrame, places: int = PLACES
+) -> DataFrame:
+    """The rows whose place is in a bitmap of `repeated_places`: all that share their value with
+    another row, and few others until the bitmap fills up."""
+    place = F.pmod(F.xxhash64(column), F.lit(places))
+    position = F.bitmap_bit_position(place)
+    byte = F.expr("cast(conv(hex(substring(bits, (position >> 3) + 1, 1)), 16, 10) as int)")
+    marked = (
+        relation.select(F.col(column))
+        .withColumns({"bucket": F.bitmap_bucket_number(place), "position": position.cast("int")})
+        # places / 32768 rows of 4 KB at most.
+        .join(F.broadcast(repeated), "bucket")
+        .filter(byte.bitwiseAND(F.expr("1 << (position & 7)")) != 0)
+    )
+    return marked.select(column)
+
+
+def unique_in_two_passes(relation: DataFrame, column: str, places: int = PLACES) -> DataFrame:
+    """`unique`, for relations so large that their values are worth not shuffling.
+
+    The first pass finds the places that occur twice, the second counts only the values at such
+    places.  A bitmap that is full lets every value through, so it changes no result.
+    """
+    repeated = repeated_places(relation, column, places)
+    return unique(may_repeat(relation, column, repeated, places), column)
+
+
 def accepted_values(relation: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
     """Values outside the list; nulls are never reported."""
     return (
@@ -174,8 +222,8 @@ def _count_rows_and_values(
     return _one_row_per_check(relation.agg(*second), checks)
 
 
-def _count_repeated(relation: DataFrame, check: Check) -> DataFrame:
-    repeated = unique(relation, check.column)
+def _count_repeated(relation: DataFrame, check: Check, two_passes: bool) -> DataFrame:
+    repeated = (unique_in_two_passes if two_passes else unique)(relation, check.column)
     return _one_row_per_check(repeated.agg(F.count("*").alias("0")), [check])
 
 
@@ -184,6 +232,7 @@ def check_all(
     checks: list[Check],
     as_of: datetime | None = None,
     failures: dict[str, int] | None = None,
+    two_passes: bool = False,
 ) -> DataFrame:
     """Failures of every check, one row each.
 
@@ -202,7 +251,7 @@ def check_all(
             days = low_conversion(relations[check.relation], day)
             counted.append(_one_row_per_check(days.agg(F.count("*").alias("0")), [check]))
         elif check.kind == "unique":
-            counted.append(_count_repeated(relations[check.relation], check))
+            counted.append(_count_repeated(relations[check.relation], check, two_passes))
         else:
             row_checks.setdefault(check.relation, []).append(check)
     for name, mine in row_checks.items():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from authlytics.operators import marts, quality, reports, staging
 from authlytics.plans.checks import DECLARED_CHECKS
-from authlytics.plans.rollup import GRAIN, auth_rollup, rollup_funnel, rollup_sessions
+from authlytics.plans.rollup import auth_rollup, rollup_funnel, rollup_sessions
 from authlytics.plans.storage import Build, WorkingTables, load_raw, measured, publish_view
 from authlytics.schemas import RAW_AUTH_EVENTS, RAW_USERS
 
@@ -63,7 +63,7 @@ def build_relations(
     }
     working = WorkingTables(spark)
     try:
-        rollup = working.write(auth_rollup(events), "auth_rollup", GRAIN)
+        rollup = working.write(auth_rollup(events), "auth_rollup")
         for name in wanted:
             relations[name] = write_mart(MARTS[name](working, rollup, users), name)
     finally:
@@ -118,10 +118,14 @@ def run_checks(
     relations: dict[str, DataFrame],
     as_of: datetime | None = None,
     failures: dict[str, int] | None = None,
+    two_passes: bool = False,
 ) -> DataFrame:
-    """The declared checks over relations by name, one row per check; `failures` as known from
-    `known_failures` need no scan."""
-    return quality.check_all(relations, DECLARED_CHECKS, as_of, failures)
+    """The declared checks over relations by name, one row per check.
+
+    `failures` as known from `known_failures` need no scan; `two_passes` spares the network for
+    unique keys at the price of a second scan.
+    """
+    return quality.check_all(relations, DECLARED_CHECKS, as_of, failures, two_passes)
 
 
 def run_report(name: str, relations: dict[str, DataFrame]) -> DataFrame:

@@ -74,7 +74,7 @@ def test_rollup_reads_the_events_once_and_shuffles_once(stored):
     text = plan(auth_rollup(stored.stg_auth_events))
     assert text.count("FileScan") == 1
     assert text.count("Exchange") == 1
-    assert "SortAggregate" not in text
+    assert "SortAggregate" not in text and "Expand" not in text
 
 
 def test_failing_countries_do_not_read_the_funnel(stored):

@@ -23,6 +23,44 @@ def test_unique_ignores_nulls(spark):
     assert dicts(bad) == [{"unique_field": "a", "n_records": 2}]
 
 
+IDS = ["a", "a", "b", None, None, "c", "c", "c", "", ""] + [f"k{i}" for i in range(300)]
+
+
+@pytest.mark.parametrize("places", [1, 64, 32768, 40000, quality.PLACES])
+def test_two_passes_find_what_one_finds(spark, places):
+    """A bitmap of one place is always full."""
+    rows = events(spark, *[{"event_id": i} for i in IDS])
+    found = dicts(quality.unique_in_two_passes(rows, "event_id", places))
+    assert sorted(map(str, found)) == sorted(map(str, dicts(quality.unique(rows, "event_id"))))
+    assert {r["unique_field"]: r["n_records"] for r in found} == {"a": 2, "c": 3, "": 2}
+
+
+def test_two_passes_let_few_other_values_through(spark):
+    rows = events(spark, *[{"event_id": i} for i in IDS])
+    repeated = quality.repeated_places(rows, "event_id")
+    left = [r["event_id"] for r in dicts(quality.may_repeat(rows, "event_id", repeated))]
+    assert sorted(left) == ["", "", "a", "a", "c", "c", "c"]
+
+
+def test_two_passes_shuffle_no_value_whose_place_is_single(spark, tmp_path):
+    events(spark, *[{"event_id": i} for i in IDS]).write.parquet(str(tmp_path / "e"))
+    rows = spark.read.parquet(str(tmp_path / "e"))
+    found = quality.unique_in_two_passes(rows, "event_id")
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffles = [line for line in plan if "Exchange hashpartitioning" in line]
+    by_value = [i for i, line in enumerate(plan) if "hashpartitioning(event_id" in line]
+    # By place, by the bitmap's bucket, and by value: that one only above the join with the bitmap.
+    assert len(shuffles) == 3 and len(by_value) == 1
+    assert any("BroadcastHashJoin" in line for line in plan[by_value[0] :])
+    assert not any("BroadcastHashJoin" in line for line in plan[: by_value[0]])
+
+
+def test_two_passes_of_a_relation_without_values(spark):
+    assert dicts(quality.unique_in_two_passes(events(spark), "event_id")) == []
+    rows = events(spark, {"event_id": None}, {"event_id": None})
+    assert dicts(quality.unique_in_two_passes(rows, "event_id")) == []
+
+
 def test_accepted_values_never_reports_nulls(spark):
     values = ["x", "y", "y", None]
     rows = events(spark, *[{"device_type": v} for v in values])
@@ -108,6 +146,8 @@ def test_counted_together_as_one_by_one(spark, dirty_relations):
     found = {r["check_name"]: r["failures"] for r in dicts(together)}
     assert found == one_by_one(dirty_relations, DECLARED_CHECKS)
     assert len(found) == 24
+    twice = quality.check_all(dirty_relations, DECLARED_CHECKS, AS_OF, two_passes=True)
+    assert {r["check_name"]: r["failures"] for r in dicts(twice)} == found
     assert {name: n for name, n in found.items() if n} == {
         "raw_auth_events.event_id.not_null": 2,
         "raw_auth_events.event_id.unique": 2,
