@@ -26,7 +26,7 @@ UNDETERMINED = "und"
 
 # Bounds of the training sample.
 SAMPLE_ROWS = 300  # a language, about
-SAMPLE_CHARS = 1500  # of a sampled row
+SAMPLE_CHARS = 3000  # of a sampled row; longer ones are not learned from
 LEXICON_WORDS = 200  # a language
 
 SLOTS = 1 << 18  # of hashed n-grams
@@ -36,6 +36,8 @@ PENALTY = 1e-5
 _WORD = re.compile(r"[^\W\d_]+")
 _STEP_WORDS = 1 << 18  # words, with padding, that go through forward-backward together
 _CACHED_WORDS = 1 << 18
+_LONG_CHARS = 1 << 20  # of a text from which it is read in pieces
+_PIECE_WORDS = 1 << 16
 
 
 @dataclass
@@ -147,6 +149,52 @@ def _pairs(model_scores, lengths, start, transitions, probabilities):
     return expected
 
 
+def long_mean(model: Model, text: str, piece: int) -> np.ndarray:
+    """The mean probabilities of the words of one long text, so many words at a time.
+
+    A first pass carries the forward state over the pieces and keeps it where each begins; a second
+    one goes back over them with the backward state.  Only a piece's words are held at a time.
+    """
+    text = text.lower()
+    starts, n = [], 0
+    for found in _WORD.finditer(text):
+        if n % piece == 0:
+            starts.append(found.start())
+        n += 1
+    pieces = list(zip(starts, [*starts[1:], len(text)]))
+    move = np.exp(model.transitions - model.transitions.max())
+    first = np.exp(model.start - model.start.max())
+
+    def potentials(start: int, end: int) -> np.ndarray:
+        words = [w.encode("utf-8", "replace") for w in _WORD.findall(text, start, end)]
+        places: dict[bytes, int] = {}
+        at = [places.setdefault(word, len(places)) for word in words]
+        scores = emissions(model, list(places))[at]
+        return np.exp(scores - scores.max(axis=1, keepdims=True))
+
+    def forward(potential: np.ndarray, before: np.ndarray) -> np.ndarray:
+        ahead = np.empty_like(potential)
+        for t, own in enumerate(potential):
+            state = before * own
+            ahead[t] = state / state.sum()
+            before = ahead[t] @ move
+        return ahead
+
+    befores = [first]
+    for start, end in pieces[:-1]:
+        befores.append(forward(potentials(start, end), befores[-1])[-1] @ move)
+    total, behind = np.zeros(len(model.languages)), np.full(len(model.languages), 1.0)
+    for (start, end), before in zip(reversed(pieces), reversed(befores)):
+        potential = potentials(start, end)
+        ahead = forward(potential, before)
+        for t in range(len(potential) - 1, -1, -1):
+            state = ahead[t] * behind
+            total += state / state.sum()
+            behind = move @ (potential[t] * behind)
+            behind /= behind.sum()
+    return total / max(n, 1)
+
+
 # -- training ------------------------------------------------------------------------
 
 
@@ -156,19 +204,31 @@ def held_out(doc_id: str) -> Column:
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """(language, text) of a bounded sample: about SAMPLE_ROWS rows of each language."""
+    """(language, text) of a bounded sample: about SAMPLE_ROWS rows of each language, whole texts
+    of at most SAMPLE_CHARS characters."""
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(~held_out("doc_id"))
-    counts = {lang: n for lang, n in labelled.groupBy("lang").count().collect()}
-    if not counts:
+    chars = F.length("text")
+    shortest = {
+        lang: least for lang, least in labelled.groupBy("lang").agg(F.min(chars)).collect()
+    }
+    if not shortest:
         return []
+    # A language without a short text is learned from its shortest ones.
+    longest = F.create_map(
+        *[F.lit(x) for lang, n in shortest.items() for x in (lang, max(n, SAMPLE_CHARS))]
+    )
+    short = labelled.filter(chars <= longest[F.col("lang")])
+    counts = dict(short.groupBy("lang").count().collect())
     share = F.create_map(
         *[F.lit(x) for lang, n in counts.items() for x in (lang, SAMPLE_ROWS / n)]
     )
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    chosen = labelled.filter(draw < share[F.col("lang")])
-    cut = chosen.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    rows = cut.limit(2 * SAMPLE_ROWS * len(counts)).collect()
-    return sorted((row["lang"], row["text"]) for row in rows)
+    # By id and text, so that the choice is the same every time and repeated ids spread out.
+    text = F.xxhash64("text")
+    draw = F.pmod(F.xxhash64("doc_id", text), F.lit(1 << 30)) / (1 << 30)
+    chosen = short.filter(draw < share[F.col("lang")])
+    order = [draw, "doc_id", text, "lang"]
+    rows = chosen.orderBy(*order).limit(2 * SAMPLE_ROWS * len(counts)).select("lang", "text")
+    return sorted((row["lang"], row["text"]) for row in rows.collect())
 
 
 def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
@@ -203,7 +263,8 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
         np.zeros(k),
         np.zeros((k, k)),
     )
-    squares = [np.full_like(x, 1e-8) for x in (model.grams, model.membership, model.transitions)]
+    weights = (model.grams, model.membership, model.transitions, model.start)
+    squares = [np.full_like(x, 1e-8) for x in weights]
     for _ in range(EPOCHS):
         order = rng.permutation(len(sequences))
         for i in range(0, len(order), 32):
@@ -239,6 +300,7 @@ def _step(model: Model, batch: list, squares: list[np.ndarray]) -> None:
     _ascend(model.grams, squares[0], grams, used)
     _ascend(model.membership, squares[1], holds.T @ error, slice(None))
     _ascend(model.transitions, squares[2], moved, slice(None))
+    _ascend(model.start, squares[3], error[starts].sum(axis=0), slice(None))
 
 
 def _ascend(weights: np.ndarray, squares: np.ndarray, gradient: np.ndarray, at) -> None:
@@ -284,7 +346,9 @@ class Tagger:
 
     def predict(self, texts: Iterable[str | None]) -> np.ndarray:
         """(texts, languages): the mean of the words' probabilities; zeros without words."""
-        places = self._place(texts)
+        texts = list(texts)
+        long = {i for i, text in enumerate(texts) if text and len(text) >= _LONG_CHARS}
+        places = self._place(None if i in long else text for i, text in enumerate(texts))
         lengths = np.array([len(p) for p in places], dtype=np.int64)
         result = np.zeros((len(places), len(self.model.languages)))
         order = np.argsort(lengths, kind="stable")
@@ -307,6 +371,9 @@ class Tagger:
             found = marginals(scores, size, self.model.start, self.model.transitions)
             result[group] = found.sum(axis=0) / size[:, None]
             start = end
+        for i in long:
+            if any(c.isalpha() for c in texts[i]):
+                result[i] = long_mean(self.model, texts[i], _PIECE_WORDS)
         return result
 
 

@@ -66,6 +66,45 @@ def test_words_of_code_switched_texts_get_their_own_language():
     assert np.trace(model.transitions) > model.transitions.sum() - np.trace(model.transitions)
 
 
+def two_languages():
+    rows = [("x", "aaa bab aab bbb aba " * 4), ("y", "ooo iio oio iii ooi " * 4)] * 12
+    return language.train(rows)
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64, 10_000])
+def test_long_texts_in_pieces_have_the_probabilities_of_the_whole(piece):
+    model = two_languages()
+    text = " ".join(["aab bab", "oio iii 7 ooo", "aaa-É", "zz"] * 30)
+    whole = language.Tagger(model).predict([text])[0]
+    assert np.allclose(language.long_mean(model, text, piece), whole)
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    model = two_languages()
+    texts = ["aab oio " * 40, None, "", "7 " * 300, "aaa " * 90]
+    expected = language.Tagger(model).predict(texts)
+    monkeypatch.setattr(language, "_LONG_CHARS", 100)
+    monkeypatch.setattr(language, "_PIECE_WORDS", 16)
+    assert np.allclose(language.Tagger(model).predict(texts), expected)
+
+
+def test_the_first_word_has_weights_of_its_own():
+    rows = [("x", "aaa"), ("x", "aaa bab"), ("y", "oio aaa"), ("x", "aab oio")] * 10
+    assert np.abs(language.train(rows).start).max() > 0
+
+
+def test_sampled_texts_are_whole_and_the_same_every_time(spark):
+    long = "abc " * (language.SAMPLE_CHARS // 2)
+    rows = [(1, f"text {i}") for i in range(900)] + [(2, long), (3, long + "x")]
+    docs = documents(spark, rows)
+    found = language.sample(docs)
+    again = language.sample(documents(spark, rows[::-1], 7))
+    assert found == again and 100 < len(found) <= 2 * language.SAMPLE_ROWS
+    assert {text for _, text in found} <= {text for _, text in rows[:900]}
+    # Where no text is short, the shortest are learned from, whole.
+    assert language.sample(documents(spark, rows[900:])) == [("en", long)]
+
+
 def test_held_out_rows_are_never_learned_from(spark):
     docs = spark.read.parquet(SF)
     rows = docs.select("doc_id", language.held_out("doc_id").alias("h")).collect()
