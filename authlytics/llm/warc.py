@@ -78,18 +78,32 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 
 
 def page_records(
-    page_id, url: bytes | None, payload: bytes, digest: str, refers_to, name: str
+    page_id,
+    url: bytes | None,
+    payload: bytes,
+    digest: str,
+    refers_to,
+    name: str,
+    first_url: bytes | None = None,
 ) -> Iterator[bytes]:
-    """The record of a page, and its continuations if it is long; `name` is the row's own."""
+    """The record of a page, and its continuations if it is long; `name` is the row's own.
+
+    A revisit names the response by page, and for other readers by its URI and date.
+    """
     revisit = refers_to is not None
     block = _HTTP if revisit else _HTTP + chunked(payload)
     own = _urn(name)
-    safe = url and _UNSAFE.sub(lambda m: b"%%%02X" % m.group()[0], url)
+
+    def safe(uri: bytes | None) -> bytes | None:
+        return uri and _UNSAFE.sub(lambda m: b"%%%02X" % m.group()[0], uri)
+
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
         ("WARC-Record-ID", own),
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", safe),
+        ("WARC-Target-URI", safe(url)),
+        ("WARC-Refers-To-Target-URI", safe(first_url) if revisit else None),
+        ("WARC-Refers-To-Date", DATE if revisit else None),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("WARC-Profile", _PROFILE if revisit else None),
         ("Content-Type", "application/http; msgtype=response"),
@@ -155,15 +169,19 @@ def write_archives(pages: DataFrame, path: str, working: Work) -> None:
     firsts = (
         rows.filter(F.octet_length("payload") >= REVISIT_BYTES)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+        .agg(
+            F.min("page_id").alias("first_id"),
+            F.min_by("url", "page_id").alias("first_url"),
+            F.count("*").alias("n"),
+        )
         .filter("n > 1 AND first_id IS NOT NULL")
-        .select("digest", "first_id")
+        .select("digest", "first_id", "first_url")
     )
     firsts = working.write(firsts, "firsts")
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     records = (
         rows.join(firsts, "digest", "left")
-        .select("page_id", "url", "payload", "digest", refers_to.alias("refers_to"))
+        .select("page_id", "url", "payload", "digest", refers_to.alias("refers_to"), "first_url")
         .mapInArrow(_write_records, "record binary")
         .select(F.col("record").cast("string").alias("record"))
     )
@@ -187,6 +205,7 @@ def _write_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 page["digest"],
                 page["refers_to"],
                 name,
+                page["first_url"],
             )
             row += 1
         yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
@@ -234,11 +253,12 @@ def _read_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages from whole blocks; a null block is one that could not be put together."""
+    """Pages from the blocks of their segments, null where these could not be put together."""
     for batch in batches:
         payloads, complete = [], []
-        for block, kind, digest in zip(*(batch.column(c) for c in ("block", "type", "digest"))):
-            block, payload = block.as_py(), None
+        for blocks, kind, digest in zip(*(batch.column(c) for c in ("blocks", "type", "digest"))):
+            block = None if not blocks.is_valid else b"".join(blocks.as_py())
+            payload = None
             if block is not None and kind.as_py() != "revisit":
                 head, _, body = block.partition(RECORD_END)
                 framed = b"transfer-encoding: chunked" in head.lower()
@@ -262,23 +282,20 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def reassemble(records: DataFrame) -> DataFrame:
-    """Whole records: those of one segment as they are, segments joined by origin."""
-    kept = ["type", "page_id", "refers_to", "digest", "block"]
-    whole = records.filter("segment IS NULL").select(kept)
-    part = F.struct("segment", "total", "type", "page_id", "refers_to", "digest", "block")
+    """Records by their blocks in order: one of those of one segment, else the segments of an
+    origin, null where they don't fit together.  Nothing is joined before `_decode`, once."""
+    kept = ["type", "page_id", "refers_to", "digest"]
+    whole = records.filter("segment IS NULL").select(*kept, F.array("block").alias("blocks"))
+    part = F.struct("segment", "total", *kept, "block")
     parts = records.filter("segment IS NOT NULL").groupBy("origin")
     parts = parts.agg(F.sort_array(F.collect_list(part)).alias("parts"))
     first, last = F.col("parts")[0], F.element_at("parts", -1)
-    block = F.aggregate(
-        "parts", F.lit(b""), lambda joined, p: F.concat(joined, p["block"])
-    )
     numbers = F.transform("parts", lambda p: p["segment"])
-    agree = (numbers == F.sequence(F.lit(1), F.size("parts"))) & (
-        F.octet_length(block) == last["total"]
-    )
-    joined = parts.select(
-        *(first[c].alias(c) for c in kept[:-1]), F.when(agree, block).alias("block")
-    )
+    sizes = F.transform("parts", lambda p: F.octet_length(p["block"]).cast("long"))
+    size = F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n)
+    agree = (numbers == F.sequence(F.lit(1), F.size("parts"))) & (size == last["total"])
+    blocks = F.transform("parts", lambda p: p["block"])
+    joined = parts.select(*(first[c].alias(c) for c in kept), F.when(agree, blocks).alias("blocks"))
     return whole.unionByName(joined)
 
 

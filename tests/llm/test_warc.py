@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from authlytics.llm import warc
 from authlytics.llm.common import Work
@@ -58,6 +59,30 @@ def test_payloads_come_back_whole(spark):
     assert texts[4] == LONG and texts[2] == "" and texts[10] == "0\r\n\r\n" * 50
 
 
+def test_revisits_name_the_response_for_other_readers(spark):
+    work, same = Work(spark), "z" * 200
+    path = f"{work.folder}/archives"
+    rows = [(3, "http://a/ first", same), (5, "http://b/", same), (6, None, same), (7, "http://c/", "z")]
+    warc.write_archives(pages(spark, rows), path, work)
+    files = spark.read.format("binaryFile").load(path).collect()
+    records = [h for f in files for h, _ in warc.parse(bytes(f["content"]))]
+    named = {
+        int(h["x-page-id"]): (h.get("warc-refers-to-target-uri"), h.get("warc-refers-to-date"))
+        for h in records
+    }
+    there = ("http://a/%20first", warc.DATE)
+    assert named == {3: (None, None), 5: there, 6: there, 7: (None, None)}
+
+
+def test_long_records_are_put_together_in_linear_time(spark):
+    work = Work(spark)
+    path = f"{work.folder}/archives"
+    text = "0123456789abcdef" * (1 << 21)  # 32 MB in some 60 segments
+    warc.write_archives(pages(spark, [(1, "http://a/", text)]), path, work)
+    (page,) = warc.read_archives(spark, path).select("complete", F.octet_length("payload")).collect()
+    assert tuple(page) == (True, len(text))
+
+
 def test_many_pages_stay_in_bounded_files(spark, monkeypatch):
     monkeypatch.setattr(warc, "FILE_BYTES", 100_000)
     rows = [(i, f"http://h{i}/", "y" * (i * 37 % 9000)) for i in range(300)]
