@@ -23,6 +23,7 @@ _CONTROLS = (("#", "## "), ("<", "turn/>"), ("<", "/turn>"))
 # Characters that a role may not show as they are.
 _ROLE_CODES = (("%", "%25"), (":", "%3A"), ("<", "%3C"), ("#", "%23"), ("\n", "%0A"))
 _BACKSLASHES = r"(\\*)"
+CHUNK = 512  # elements of an array that a fold goes over at a time
 
 
 def escape(text: Column) -> Column:
@@ -50,23 +51,28 @@ def _decode_role(role: Column) -> Column:
 
 
 def _merge(turns: Column) -> Column:
-    """Sorted turns as blocks (role, texts) of adjacent turns of one role."""
-    kind = "array<struct<role: string, texts: array<string>>>"
-
-    def add(blocks: Column, turn: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        longer = F.struct(
-            turn["role"].alias("role"),
-            F.concat(last["texts"], F.array(turn["text"])).alias("texts"),
-        )
-        new = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == turn["role"])
-        kept = F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(0)))
-        return F.when(same, F.concat(kept, F.array(longer))).otherwise(
-            F.concat(blocks, F.array(new))
-        )
+    """Sorted turns as blocks (role, texts) of adjacent turns of one role.
 
-    return F.aggregate(turns, F.array().cast(kind), add)
+    A block begins where the role is another than before; it is the slice up to the next beginning.
+    """
+    n = F.size(turns)
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def role(i: Column) -> Column:
+        return F.get(turns, i)["role"]
+
+    begins = F.filter(places, lambda i: (i == 0) | (role(i) != role(i - 1)))
+    ends = F.concat(F.slice(begins, 2, F.size(begins)), F.array(n))
+    ranges = F.arrays_zip(begins.alias("begin"), ends.alias("end"))
+    return F.transform(
+        F.when(n > 0, ranges),
+        lambda r: F.struct(
+            role(r["begin"]).alias("role"),
+            F.transform(
+                F.slice(turns, r["begin"] + 1, r["end"] - r["begin"]), lambda t: t["text"]
+            ).alias("texts"),
+        ),
+    )
 
 
 def _pieces(blocks: Column, trained: str) -> Column:
@@ -90,20 +96,45 @@ def _pieces(blocks: Column, trained: str) -> Column:
     return F.flatten(F.transform(blocks, of_block))
 
 
-def _loss_spans(pieces: Column) -> Column:
-    """(start, length) in characters of the pieces that the loss covers."""
-    none = F.array().cast("array<struct<start: int, length: int>>")
-    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+def _in_chunks(values: Column) -> Column:
+    """The array cut into arrays of CHUNK, so that a fold never carries a long array along."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(CHUNK))
+    return F.transform(starts, lambda at: F.slice(values, at, CHUNK))
+
 
-    def add(state: Column, piece: Column) -> Column:
-        length = F.length(piece["text"])
-        span = F.struct(state["at"].alias("start"), length.alias("length"))
-        spans = F.when(piece["loss"], F.concat(state["spans"], F.array(span))).otherwise(
-            state["spans"]
+def _running(lengths: Column) -> Column:
+    """The sum of what is before each of the lengths."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+
+    def add(state: Column, length: Column) -> Column:
+        return F.struct(
+            (state["at"] + length).alias("at"),
+            F.concat(state["before"], F.array(state["at"])).alias("before"),
         )
-        return F.struct((state["at"] + length).alias("at"), spans.alias("spans"))
 
-    return F.aggregate(pieces, state, add)["spans"]
+    return F.aggregate(lengths, state, add)["before"]
+
+
+def _loss_spans(pieces: Column, chunks: Column) -> Column:
+    """(start, length) in characters of the pieces that the loss covers, given all lengths in
+    chunks."""
+    sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, n: a + n))
+    within = F.zip_with(
+        chunks, _running(sums), lambda c, at: F.transform(_running(c), lambda before: before + at)
+    )
+    spans = F.zip_with(
+        F.flatten(within),
+        F.transform(
+            pieces, lambda p: F.struct(p["loss"].alias("loss"), F.length(p["text"]).alias("length"))
+        ),
+        lambda start, p: F.struct(
+            start.alias("start"), p["length"].alias("length"), p["loss"].alias("loss")
+        ),
+    )
+    return F.transform(
+        F.filter(spans, lambda s: s["loss"]),
+        lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")),
+    )
 
 
 def format_chats(conversations: DataFrame, trained: str = "assistant") -> DataFrame:
@@ -124,10 +155,13 @@ def format_chats(conversations: DataFrame, trained: str = "assistant") -> DataFr
         "conv_id", _merge(F.col("turns")).alias("blocks")
     )
     pieces = blocks.select("conv_id", _pieces(F.col("blocks"), trained).alias("pieces"))
-    return pieces.select(
+    # Columns of their own, so that no lambda computes them again for every element.
+    sized = pieces.withColumn("lengths", F.transform("pieces", lambda p: F.length(p["text"])))
+    chunked = sized.withColumn("chunks", _in_chunks(F.col("lengths")))
+    return chunked.select(
         "conv_id",
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
-        _loss_spans(F.col("pieces")).alias("loss_spans"),
+        _loss_spans(F.col("pieces"), F.col("chunks")).alias("loss_spans"),
     )
 
 
@@ -149,8 +183,24 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))),
-        "",
+    """All text under the loss mask, unescaped, in order.
+
+    The text is cut once for every CHUNK spans, and the spans out of these cuts, so that no span is
+    counted off from the beginning of a long text.
+    """
+
+    def cut(chunk: Column) -> Column:
+        first, last = F.get(chunk, F.lit(0)), F.element_at(chunk, -1)
+        end = last["start"] + last["length"]
+        text = F.substring(formatted, first["start"] + 1, end - first["start"])
+        return F.struct(text.alias("text"), first["start"].alias("start"), chunk.alias("spans"))
+
+    cuts = F.transform(_in_chunks(spans), cut)
+    texts = F.transform(
+        cuts,
+        lambda c: F.transform(
+            c["spans"],
+            lambda s: unescape(F.substring(c["text"], s["start"] - c["start"] + 1, s["length"])),
+        ),
     )
+    return F.when(F.size(spans) > 0, F.array_join(F.flatten(texts), "")).otherwise("")

@@ -89,3 +89,22 @@ def test_empty_table(spark):
 def test_a_conversation_of_many_turns(spark):
     rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(2000)]
     assert read_back(chat.format_chats(table(spark, rows))) == expected(rows)
+
+
+@pytest.mark.parametrize("roles", ["ab", "a", "aab"])
+def test_long_conversations_are_cut_in_chunks(spark, roles):
+    n = 3 * chat.CHUNK + 7
+    rows = [(1, i, roles[i % len(roles)], f"t{i} #") for i in range(n)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.format_chats(table, trained="a").select(
+        "loss_spans",
+        "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    (row,) = found.collect()
+    assert [tuple(t) for t in row["turns"]] == [(r, t) for _, _, r, t in rows]
+    said = [t for _, _, r, t in rows if r == "a"]
+    assert row["loss"] == "".join(said)
+    spans = [row["formatted"][s["start"] : s["start"] + s["length"]] for s in row["loss_spans"]]
+    assert spans == said
