@@ -4,7 +4,6 @@ from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from authlytics.operators import marts, quality, reports, staging
 from authlytics.plans.checks import DECLARED_CHECKS
@@ -99,11 +98,11 @@ def known_failures(
     spark: SparkSession, database: str, as_of: datetime | None = None
 ) -> dict[str, int]:
     """Failures of declared checks that were measured while the database's tables were written."""
-    at = F.localtimestamp() if as_of is None else F.lit(str(as_of))
-    (now,) = spark.range(1).select(at.cast("string")).first()
-    found: dict[str, object] = {}
-    for group in (*RAW, "marts"):
-        found |= measured(spark, database, group)
+    if as_of is None:
+        (now,) = spark.sql("SELECT CAST(localtimestamp() AS STRING)").first()
+    else:
+        now = str(as_of)
+    found = measured(spark, database, (*RAW, "marts"))
     failures: dict[str, int] = {}
     for check in DECLARED_CHECKS:
         name = check.measure_name(_measured_as(check)[1])

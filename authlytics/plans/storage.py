@@ -3,6 +3,7 @@
 import json
 import time
 import uuid
+from collections.abc import Iterable
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
@@ -226,14 +227,15 @@ def publish(spark: SparkSession, database: str, group: str, tables: dict[str, Da
     build.show()
 
 
-def measured(spark: SparkSession, database: str, group: str) -> dict[str, object]:
-    """What was measured while the build that a group shows was written."""
-    (build,) = spark.table(f"{database}.{group}__current").first()
+def measured(spark: SparkSession, database: str, groups: Iterable[str]) -> dict[str, object]:
+    """What was measured while the builds that the groups show were written."""
+    shown = [f"SELECT '{g}' AS name, build FROM {database}.{g}__current" for g in groups]
     found: dict[str, object] = {}
-    for record in BuildLog(spark, database, group).records():
-        if record.build == build:
-            for values in record.measured.values():
-                found |= values
+    for group, build in spark.sql(" UNION ALL ".join(shown)).collect():
+        for record in BuildLog(spark, database, group).records():
+            if record.build == build:
+                for values in record.measured.values():
+                    found |= values
     return found
 
 
