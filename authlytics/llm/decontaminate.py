@@ -6,14 +6,17 @@ positions count through the segment, with one left out between documents.  Segme
 stored and searched apart from each other, so a term that makes up a third of all words is a list of
 bounded length in each.
 
-A search takes the test items in blocks of bounded size.  In each segment every window of an item
-starts from the list of its rarest term, shifted by the term's offset, and is intersected with the
-shifted lists of the others, rarest first; what is left are the places of the phrase, or, with slop,
-places near which every term lies close to where the phrase has it.
+The windows of the test items are a table, dealt to blocks of bounded size and keyed by their rarest
+term, and reach only the segments that hold that term.  There a window starts from the list of its
+rarest term, shifted by the term's offset, and is intersected with the shifted lists of the others,
+rarest first; what is left are the places of the phrase, or, with slop, places near which every term
+lies close to where the phrase has it.  All blocks are searched in one job: the lists of the index are
+read once, whatever the number of items.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +25,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from authlytics.llm.common import Work, int_lists, row_key, split_words, utf8, without
+from authlytics.llm.common import (
+    Work,
+    broadcast_if_few,
+    int_lists,
+    row_key,
+    split_words,
+    utf8,
+    without,
+)
 
 SEGMENT_WORDS = 1 << 21
-BLOCK_BYTES = 8 << 20  # of item text that one job searches for
+BLOCK_WINDOWS = 1 << 16  # that a task looks for in a segment at a time
 WINDOW = 10
 
 _POSTINGS = """segment long, term binary, n long, gaps array<int>,
@@ -138,38 +149,87 @@ def windows(words: list[bytes], width: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
 
 
-def _blocks(items: DataFrame, width: int) -> Iterator[list[tuple[object, list[tuple]]]]:
-    """The items' distinct windows, so many items at a time as have BLOCK_BYTES of text."""
-    block, held = [], 0
-    for item_id, text in items.select("item_id", utf8("text").alias("text")).toLocalIterator():
-        found = windows(split_words(bytes(text)), width)
-        if found:
-            block.append((item_id, list(dict.fromkeys(found))))
-            held += len(text)
-        if held >= BLOCK_BYTES:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+_WINDOWS = "window binary, item_id long, terms array<binary>"
+_MATCHES = """segment long, place int, item_id long,
+    spans array<struct<start: int, end: int>>, exact boolean"""
+
+
+def _window_rows(width: int):
+    """A row per window of an item; `window` tells items with different words or ids apart."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = windows(split_words(text.as_py()), width)
+                for i in range(0, len(found), 4096):
+                    part = found[i : i + 4096]
+                    # No word holds a comma.
+                    names = [
+                        hashlib.blake2b(b",".join((b"%r" % item_id, *w)), digest_size=16).digest()
+                        for w in part
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(names, pa.binary()),
+                            pa.array([item_id] * len(part), pa.int64()),
+                            pa.array(part, pa.list_(pa.binary())),
+                        ],
+                        names=["window", "item_id", "terms"],
+                    )
+
+    return rows
+
+
+def ordered_windows(windows_: DataFrame, rarity: DataFrame) -> DataFrame:
+    """window, item_id, anchor, terms, offsets: the windows whose terms all occur in the index.
+
+    Terms (one string, words parted by blanks) and their offsets come from the rarest on; the
+    anchor is the rarest.
+    """
+    rows = windows_.select(
+        "window",
+        "item_id",
+        F.size("terms").alias("width"),
+        F.posexplode("terms").alias("offset", "term"),
+    )
+    order = F.array_sort(F.collect_list(F.struct("n", "offset", "term")))
+    ordered = (
+        rows.join(rarity, "term")
+        .groupBy("window")
+        .agg(F.first("item_id").alias("item_id"), F.first("width").alias("width"), order.alias("o"))
+        .filter(F.size("o") == F.col("width"))
+    )
+    return ordered.select(
+        "window",
+        "item_id",
+        F.col("o")[0]["term"].alias("anchor"),
+        F.array_join(F.col("o.term").cast("array<string>"), " ").alias("terms"),
+        F.col("o.offset").alias("offsets"),
+    )
 
 
 class Lists:
-    """The posting lists of one segment that a search needs."""
+    """The posting lists of one segment that a search needs, decoded when first asked for."""
+
+    def __init__(self, gaps: dict[bytes, pa.ListScalar], starts: np.ndarray):
+        self.gaps, self.starts = gaps, starts
+        self.decoded: dict[bytes, np.ndarray] = {}
 
-    def __init__(self, lists: dict[bytes, np.ndarray], starts: np.ndarray):
-        self.lists, self.starts = lists, starts
+    def positions(self, term: bytes) -> np.ndarray:
+        if term not in self.decoded:
+            self.decoded[term] = _places(self.gaps[term])
+        return self.decoded[term]
 
-    def places(self, window: tuple[bytes, ...], rarity: dict[bytes, int], slop: int) -> np.ndarray:
+    def places(self, terms: list[bytes], offsets: list[int], slop: int) -> np.ndarray:
         """Where the window starts, by intersecting its terms' lists from the rarest on."""
-        if not all(term in self.lists for term in window):
+        if not all(term in self.gaps for term in terms):
             return np.zeros(0, dtype=np.int64)
-        order = sorted(range(len(window)), key=lambda i: rarity[window[i]])
-        anchor = order[0]
-        found = self.lists[window[anchor]] - anchor
-        for offset in order[1:]:
+        anchor = offsets[0]
+        found = self.positions(terms[0]) - anchor
+        for term, offset in zip(terms[1:], offsets[1:]):
             if not len(found):
                 break
-            found = found[self._near(found, anchor, self.lists[window[offset]], offset, slop)]
+            found = found[self._near(found, anchor, self.positions(term), offset, slop)]
         return found
 
     def _near(self, found, anchor, positions, offset, slop) -> np.ndarray:
@@ -191,45 +251,55 @@ class Lists:
         return np.searchsorted(self.starts, positions, side="right") - 1
 
 
-def _search(block: list, rarity: dict[bytes, int], width: int, slop: int):
-    """Rows (segment, place, item, spans, exact) of one segment, for a block of items."""
+def _places(gaps: pa.ListScalar) -> np.ndarray:
+    return np.cumsum(gaps.values.to_numpy(zero_copy_only=False), dtype=np.int64)
+
 
-    def search(segment: pa.Table) -> pa.Table:
-        rows = []
-        terms, starts, lists = segment.column("term").to_pylist(), None, {}
-        for i, gaps in enumerate(segment.column("gaps")):
-            values = np.cumsum(gaps.values.to_numpy(zero_copy_only=False), dtype=np.int64)
-            if terms[i] is None:
-                starts = values
+def _search(slop: int):
+    """Matches of one block of windows in one segment: only windows whose anchor it holds."""
+
+    def search(rows: pa.Table) -> pa.Table:
+        terms, anchored = rows.column("term").to_pylist(), rows.column("windows")
+        gaps, edges, asked = {}, None, []
+        for i, term in enumerate(terms):
+            if anchored[i].is_valid:
+                asked.append(i)
+            elif term is None:
+                edges = _places(rows.column("gaps")[i])
             else:
-                lists[terms[i]] = values
-        number = segment.column("segment")[0].as_py()
-        lengths = np.diff(np.append(starts[:-1], starts[-1])) - 1
-        held = Lists(lists, starts[:-1])
-        for item, found in block:
-            for exact in (True, False) if slop else (True,):
-                for place, spans in _spans(held, lengths, found, rarity, 0 if exact else slop):
-                    rows.append((number, place, item, spans, exact))
+                gaps[term] = rows.column("gaps")[i]
+        held = Lists(gaps, edges[:-1])
+        lengths = np.diff(edges) - 1
+        found = []
+        for near in (0, slop) if slop else (0,):
+            hits: dict[object, list] = {}
+            for i in asked:
+                # Items that share a window share its places.
+                known: dict[tuple, np.ndarray] = {}
+                for window in anchored[i]:
+                    item_id, words, offsets = window.as_py().values()
+                    name = (words, *offsets)
+                    if name not in known:
+                        known[name] = held.places(words.encode().split(b" "), offsets, near)
+                    if len(known[name]):
+                        hits.setdefault(item_id, []).append((known[name], len(offsets)))
+            for item_id, places in hits.items():
+                for place, spans in _spans(held, lengths, places):
+                    found.append((place, item_id, spans, not near))
+        number = rows.column("segment")[0].as_py()
         span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(span), pa.bool_()]
+        kinds = [pa.int32(), pa.int64(), pa.list_(span), pa.bool_()]
+        columns = [pa.array(c, k) for c, k in zip(list(zip(*found)) or [()] * 4, kinds)]
         return pa.table(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
+            [pa.array([number] * len(found), pa.int64()), *columns],
             names=["segment", "place", "item_id", "spans", "exact"],
         )
 
     return search
 
 
-def _spans(held: Lists, lengths, found, rarity, slop) -> Iterator[tuple[int, list[dict]]]:
-    """Per document, the runs of words that the item's windows cover."""
-    hits: list[tuple[np.ndarray, int]] = []
-    for window in found:
-        places = held.places(window, rarity, slop)
-        if len(places):
-            hits.append((places, len(window)))
-    if not hits:
-        return
+def _spans(held: Lists, lengths, hits) -> Iterator[tuple[int, list[dict]]]:
+    """Per document, the runs of words that an item's windows cover."""
     starts = np.concatenate([p for p, _ in hits])
     ends = np.concatenate([p + n for p, n in hits])
     # A place near a document's edge may stick out of it: its middle does not.
@@ -257,36 +327,42 @@ def search(
     window.  Spans are the runs of document words that occurrences cover, ends excluded.  With slop,
     rows that are not exact follow: places near which each term of a window lies, in the same
     document, within `slop` words of where the phrase has it, seen from the rarest.
+
+    Windows are dealt to blocks of about BLOCK_WINDOWS; a document and an item have a row for each
+    block with such windows, so spans of several rows may overlap.
     """
-    found = []
-    spark = index.sparkSession
-    for number, block in enumerate(_blocks(items, width)):
-        terms = sorted({term for _, windows in block for window in windows for term in window})
-        wanted = working.write(
-            spark.createDataFrame([(t,) for t in terms], "term binary"), f"terms-{number}"
-        )
-        # At most as many rows as the block has terms.
-        counts = index.select("term", "n").join(wanted, "term").groupBy("term").sum("n").collect()
-        rarity = dict.fromkeys(terms, 0) | {bytes(term): n for term, n in counts}
-        postings = index.select("segment", "term", "gaps").join(wanted, "term")
-        rows = postings.select("segment", "term", "gaps").union(_starts(index))
-        found.append(
-            working.write(
-                rows.groupBy("segment").applyInArrow(
-                    _search(block, rarity, width, slop),
-                    """segment long, place int, item_id long,
-                    spans array<struct<start: int, end: int>>, exact boolean""",
-                ),
-                f"matches-{number}",
-            )
-        )
-    if not found:
-        none = "segment long, place int, item_id long, spans array<struct<start: int, end: int>>"
-        return spark.createDataFrame([], none + ", exact boolean")
-    matches = found[0]
-    for more in found[1:]:
-        matches = matches.union(more)
-    return matches
+    found = items.select(F.col("item_id").cast("long").alias("item_id"), utf8("text").alias("text"))
+    found = found.mapInArrow(_window_rows(width), _WINDOWS).dropDuplicates(["window"])
+    found = working.write(found, "windows")
+    blocks = -(-found.count() // BLOCK_WINDOWS)
+    if not blocks:
+        return index.sparkSession.createDataFrame([], _MATCHES)
+
+    terms = working.write(found.select(F.explode("terms").alias("term")).distinct(), "terms")
+    held = index.select("segment", "term", "n").join(broadcast_if_few(terms), "term")
+    held = working.write(held, "held")
+    rarity = working.write(held.groupBy("term").agg(F.sum("n").alias("n")), "rarity")
+    ordered = ordered_windows(found, rarity)
+    block = F.pmod(F.xxhash64("window"), F.lit(blocks)).alias("block")
+    ordered = working.write(ordered.select("*", block), "ordered")
+
+    anchored = ordered.groupBy("block", F.col("anchor").alias("term")).agg(
+        F.collect_list(F.struct("item_id", "terms", "offsets")).alias("windows")
+    )
+    asked = held.select("segment", "term").join(working.write(anchored, "anchored"), "term")
+    words = F.split("terms", " ").cast("array<binary>")
+    wanted = ordered.select("block", F.explode(words).alias("term"))
+    wanted = broadcast_if_few(working.write(wanted.distinct(), "wanted"))
+    lists = index.select("segment", "term", "gaps").join(wanted, "term")
+    every_block = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
+    edges = _starts(index).select("segment", "term", "gaps", F.explode(every_block).alias("block"))
+    rows = asked.unionByName(lists.unionByName(edges), allowMissingColumns=True)
+    # Segments that hold no anchor of a block have nothing to search for.
+    rows = rows.join(
+        asked.select("block", "segment").distinct(), ["block", "segment"], "left_semi"
+    )
+    matches = rows.groupBy("block", "segment").applyInArrow(_search(slop), _MATCHES)
+    return working.write(matches, "matches")
 
 
 def _starts(index: DataFrame) -> DataFrame:

@@ -32,9 +32,9 @@ def items(spark, content=ITEMS):
     return spark.createDataFrame([(i, t, "x") for i, t in content], "item_id long, text string, term string")
 
 
-@pytest.mark.parametrize("segment,block", [(1 << 21, 8 << 20), (50, 100)])
+@pytest.mark.parametrize("segment,block", [(1 << 21, 1 << 16), (50, 7)])
 def test_hits(spark, monkeypatch, segment, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
     monkeypatch.setattr(decontaminate, "SEGMENT_WORDS", segment)
     found = decontaminate.contamination(documents(spark, rows()), items(spark), Work(spark))
     result = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found.collect()]
@@ -80,3 +80,33 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(docs.limit(0), items(spark), Work(spark)).count() == 0
     found = decontaminate.contamination(docs, none, Work(spark))
     assert found.filter("n_hit = 0").count() == len(ODD_TEXTS)
+
+
+def test_windows_start_from_their_rarest_term(spark):
+    rarity = spark.createDataFrame([(b"a", 9), (b"b", 2), (b"c", 2)], "term binary, n long")
+    windows = [(b"1", 7, [b"a", b"c", b"b"]), (b"2", None, [b"a", b"a"]), (b"3", 8, [b"a", b"x"])]
+    windows = spark.createDataFrame(windows, decontaminate._WINDOWS)
+    found = decontaminate.ordered_windows(windows, rarity)
+    rows = [(bytes(r["anchor"]), r["item_id"], r["terms"], r["offsets"]) for r in found.collect()]
+    assert sorted(rows) == [(b"a", None, "a a", [0, 1]), (b"c", 7, "c b a", [1, 2, 0])]
+
+
+def test_many_items_in_one_pass(spark, monkeypatch):
+    """3,000 items, in many blocks: the lists are read once, and a segment sees own anchors only."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 1024)
+    monkeypatch.setattr(decontaminate, "SEGMENT_WORDS", 2000)
+    content = [(i, prose(1000 + i, 12)) for i in range(3_000)]
+    docs = [(i, f"{prose(i, 30)} {prose(1000 + 13 * i, 12)}") for i in range(200)]
+    content += [(20_000 + i, content[5][1]) for i in range(50)] + [(None, docs[3][1])]
+    work = Work(spark)
+    read = []
+    monkeypatch.setattr(
+        work, "write", lambda rows, name: read.append((name, rows)) or Work.write(work, rows, name)
+    )
+    found = decontaminate.contamination(documents(spark, docs), items(spark, content), work)
+    result = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found.collect()]
+    assert sorted(result, key=repr) == contamination(docs, content)
+    assert [name for name, _ in read].count("matches") == 1
+    plan = dict(read)["matches"]._jdf.queryExecution().executedPlan().toString()
+    scans = [line.partition("ReadSchema")[2] for line in plan.splitlines() if "FileScan" in line]
+    assert sum("gaps" in columns for columns in scans) == 1
