@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authlytics.functions import columns as c
+from authlytics.operators.skew import spread_join
 from authlytics.schemas import FCT_DAILY_AUTH_METRICS, USER_FRICTION_SCORES
 
 SLICE_KEYS = ["metric_date", "country_code", "device_category", "subscription_type"]
@@ -131,13 +132,12 @@ def user_friction_scores(history: DataFrame, users: DataFrame) -> DataFrame:
     """Friction score and segment of every known user with a session.
 
     Users are the streamed side: should one user id be repeated in the user table, a merge
-    join buffers only the single history row of that id.  Histories that are read from a table or
-    dealt out anew let adaptive execution split such an id over many tasks.
+    join buffers only the single history row of that id, and the id's rows are spread over tasks.
     """
     profile = users.select(
         "user_id", "subscription_tier", "mfa_enabled", "email_verified", "cohort_month"
     )
-    scored = profile.join(history, "user_id")
+    scored = spread_join(profile, history, "user_id")
     return scored.withColumns(
         {"friction_score": c.friction_score(), "friction_segment": c.friction_segment()}
     ).select(*USER_FRICTION_SCORES.names)

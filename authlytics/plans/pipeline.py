@@ -31,8 +31,7 @@ def _fct(working: WorkingTables, rollup: DataFrame, users: DataFrame) -> DataFra
 
 
 def _scores(working: WorkingTables, rollup: DataFrame, users: DataFrame) -> DataFrame:
-    """Histories are written first: adaptive execution can split a hot user id of a join only
-    where both sides are plain shuffles, not where one is still an aggregate."""
+    """Histories are written first, so that the join with the users knows their size."""
     history = marts.user_session_history(rollup_sessions(rollup))
     return marts.user_friction_scores(working.write(history, "user_session_history"), users)
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from authlytics.operators.skew import spread_join
 from authlytics.schemas import RAW_AUTH_EVENTS, RAW_USERS
 from authlytics.sources.raw import conform
 
@@ -153,10 +154,10 @@ def raw_auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 10 == 3, F.concat(F.lit(" "), auth_type))
         .otherwise(auth_type)
     )
-    # Customers are joined before nations, so that Spark judges by its own size whether the
-    # customer table is small enough to broadcast; a shuffled join splits a hot user.
-    customers = _table(spark, sf_dir, "customer")
-    of_customer = typed.join(customers, user == F.col("c_custkey"), "left")
+    # Customers are joined before nations, so that their own size decides whether they are sent to
+    # all; otherwise a hot user is spread over tasks.
+    customers = _table(spark, sf_dir, "customer").withColumn("user_id", F.col("c_custkey"))
+    of_customer = spread_join(typed, customers, "user_id", "left")
     session = F.concat(F.lit("sess_"), user, F.lit("_"), F.col("bucket"))
     # Ids that no customer has, and users all of whose session ids are missing.
     unknown = F.when(F.col("event_id") % 83 == 0, "usr_x").otherwise("usr_")
