@@ -6,8 +6,9 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from cases import documents, prose
 from comparison import assert_same, open_tables
-from reference import contamination, exact_groups, near_components, simhash_components
+from reference import contamination, exact_groups, near_components, repeats, simhash_components
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
@@ -66,6 +67,35 @@ def test_simhash_query_is_brute_force(spark):
     assert sorted(found, key=repr) == simhash_components(pairs(docs))
 
 
+def test_suffix_query_removes_planted_passages_by_their_bytes(spark, tmp_path):
+    rows, lengths = [], {}
+    for i, size in enumerate([300, 350, 399, 400, 401, 900]):
+        passage = prose(i, 400).encode()[:size].decode(errors="ignore")
+        passage += "x" * (size - len(passage.encode()))
+        assert len(passage.encode()) == size and len(passage.split()) > 50
+        for j in range(2):
+            # Other bytes on both sides: the passage is all that the two texts share.
+            own = f"{prose(100 + 10 * i + j, 60, 2000)}{'AB'[j]}{passage}{'CD'[j]}"
+            rows.append((len(rows), own + prose(300 + 10 * i + j, 30, 2000)))
+            lengths[rows[-1][0]] = size
+    rows += [(50, prose(50, 300, 2000)), (51, prose(51, 20, 2000)), (52, None)]
+    rows.append((53, f"{prose(53, 110)}E{prose(54, 30, 2000)}F{prose(53, 110)}"))
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = [tuple(r) for r in queries.op6_suffix_dedup(spark, str(tmp_path)).collect()]
+    expected = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in repeats(rows, 400, False)]
+    assert sorted(found) == sorted(expected)
+    removed = {r[0]: r[2] for r in found}
+    alone = {50: 0, 51: 0, 52: 0, 53: 2 * len(prose(53, 110).encode())}
+    assert removed == {i: size if size >= 400 else 0 for i, size in lengths.items()} | alone
+
+
+def test_suffix_query_is_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    found = [tuple(r) for r in queries.op6_suffix_dedup(spark, SMALL).collect()]
+    expected = repeats(pairs(docs), 400, False)
+    assert sorted(found) == sorted((*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in expected)
+
+
 def test_pipeline_stage_by_stage(spark):
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
         "drop_unidentified",
